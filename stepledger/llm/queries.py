@@ -4,14 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepledger.llm import packing
+from stepledger.llm import neardup, packing, quality
 from stepledger.llm._shared import table
 
 
+def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learned quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, *quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), *packing.vocabulary())
 
 
-QUERIES = {"op10_best_fit_packing": op10_best_fit_packing}
+QUERIES = {
+    "op3_simhash_neardup": op3_simhash_neardup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op10_best_fit_packing": op10_best_fit_packing,
+}
 ORACLE_SQL: dict[str, str] = {}
