@@ -201,19 +201,20 @@ def edges(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """node and label (the smallest node of its component) of every node of u-v edges.
 
-    Each round hooks every node to its smallest neighbour, follows the hooks
-    twice and contracts the edges; roots at least halve, so the rounds grow
-    with the logarithm of the largest component.
+    Each round hooks every node to its smallest smaller neighbour, follows the
+    hooks to their roots by doubling and contracts the edges. Only local minima
+    stay, at most half of the nodes, so rounds and doublings grow with the
+    logarithm of the largest component.
     """
     links = materialise(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct(), name)
     both = links.select(F.col("u").alias("node")).union(links.select("v")).distinct()
     labels = materialise(both.select("node", F.col("node").alias("label")), name)
     while not links.isEmpty():
-        hook = links.groupBy(F.col("v").alias("root")).agg(F.min("u").alias("to"))
-        for _ in range(2):
-            onward = hook.select(F.col("root").alias("to"), F.col("to").alias("next"))
-            hook = hook.join(onward, "to", "left").select("root", F.coalesce("next", "to").alias("to"))
+        hook = links.groupBy(F.col("v").alias("root")).agg(F.min("u").alias("to"), F.lit(True).alias("moved"))
         hook = materialise(hook, name)
+        while not hook.where("moved").isEmpty():
+            onward = hook.select(F.col("root").alias("to"), F.col("to").alias("next"))
+            hook = materialise(hook.join(onward, "to", "left").select("root", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), name)
         labels = materialise(labels.join(hook, labels["label"] == hook["root"], "left").select("node", F.coalesce("to", "label").alias("label")), name)
         ends = hook.select(F.col("root").alias("u"), F.col("to").alias("u_to"))
         links = links.join(ends, "u", "left").select(F.coalesce("u_to", "u").alias("u"), "v")

@@ -43,7 +43,8 @@ def test_held_out_accuracy(tables):
 
 def test_held_out_labels_do_not_matter(spark, tables):
     docs, labels = tables
-    turned = labels.rdd.map(lambda r: (r[0], 1 - r[1] if r[0] is not None and r[1] is not None and held(r[0]) else r[1], 0)).toDF("doc_id long, quality int, toxic int")
+    rows = [(r[0], 1 - r[1] if r[0] is not None and r[1] is not None and held(r[0]) else r[1], 0) for r in labels.collect()]
+    turned = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
     a, b = quality.fit(docs, labels), quality.fit(docs, turned)
     assert (a[0] == b[0]).all() and a[1] == b[1]
 
