@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepledger.llm import neardup, packing, quality
+from stepledger.llm import lattice, neardup, packing, quality
 from stepledger.llm._shared import table
 
 
@@ -13,6 +13,11 @@ def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and lattice scores of every document."""
+    return lattice.score(table(spark, sf_dir, "documents"), lattice.vocabulary())
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The learned quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -26,6 +31,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_neardup": op3_simhash_neardup,
+    "op4_subword_lattice": op4_subword_lattice,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
