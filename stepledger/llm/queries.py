@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepledger.llm import lattice, neardup, packing, quality
+from stepledger.llm import html, lattice, neardup, packing, quality, warc
 from stepledger.llm._shared import table
 
 
+def op1_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -30,6 +40,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text_density": op1_html_text_density,
+    "op2_warc_index": op2_warc_index,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_subword_lattice": op4_subword_lattice,
     "op7_quality_classifier": op7_quality_classifier,

@@ -1,0 +1,44 @@
+import pytest
+
+from stepledger.llm import html
+
+ARTICLE = "<h1>A  title</h1><p>First &amp; <b>bold</b>\n text.<p>Second<br>line &eacute;&#33; <a href='/x'>link</a>.</p><ul><li>One<li>Two</ul>"
+TEXT = "A title\nFirst & bold text.\nSecond line é! link.\nOne\nTwo"
+AROUND = """<!DOCTYPE html><html><head><title>no</title><style>p > b{}</style><script>var t="</p>";</script></head><body>
+<header><h2>Site</h2></header><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav><!-- <p>hidden</p> --><div class="ad">Buy &lt;now&gt;</div>
+<div id="cookie-notice">We use cookies</div><aside>Side</aside><form><p>Your name<input></form>%s
+<section class="comments"><article><p>First! A very long comment of a reader, longer than all else, as it happens at times.</p></article></section>
+<footer>&copy; someone</footer><noscript>enable</noscript></body></html>"""
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main><article>{}</article></main>", '<div class="outer"><div class="content">{}</div></div>', '<div role="main"><section>{}</section></div>'])
+def test_article_without_boilerplate(wrap):
+    assert html.main_text(AROUND % wrap.format(ARTICLE)) == TEXT
+
+
+def test_link_lists_lose_to_prose_without_any_declaration():
+    links = "<div>" + "".join(f'<span><a href="/{i}">entry {i}</a></span>' for i in range(40)) + "</div>"
+    prose = "<div>" + "".join(f"<p>Sentence {i} of a text that goes on for a while, as prose does, and then ends.</p>" for i in range(6)) + "</div>"
+    got = html.main_text(f"<body>{links}{prose}{links}</body>")
+    assert got.count("\n") == 5 and got.startswith("Sentence 0") and "entry" not in got
+
+
+def test_odd_pages():
+    assert html.main_text(None) == html.main_text("") == html.main_text("<p></p>") == html.main_text("<script>x") == html.main_text("<!-- x") == ""
+    assert html.main_text("just text &amp") == "just text &"
+    assert html.main_text("a < b and <3 &am") == "a < b and <3 &am"
+    assert html.main_text("<article><p>cut of") == "cut of"
+    assert html.main_text("<article><p title='a>b'>x</p></x></article>") == "x"
+    assert html.main_text('<article><p title="a>x</p></article>') == "x"
+    assert html.main_text("<article>" + "<div>" * 30000 + "deep") == "deep"
+    assert html.main_text("<article>" + "<b>x" * 30000) == "x" * 30000
+    assert len(html.main_text("<article><p>" + "word " * 200000)) == 999999
+    assert html.main_text("<ARTICLE><P>One<TABLE><TR><TD>a<TD>b<TR><TD>c</TABLE></ARTICLE>") == "One\na\nb\nc"
+
+
+def test_query_columns_nulls_and_repeats(spark):
+    rows = [(1, "u", f"<article>{ARTICLE}</article>", "z"), (1, "u", f"<article>{ARTICLE}</article>", "z"), (2, None, None, "z"), (None, "v", "", "z")]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(str, out.collect())) == sorted(map(str, [(1, "u", TEXT, len(TEXT))] * 2 + [(2, None, "", 0), (None, "v", "", 0)])) or [tuple(r) for r in out.orderBy("page_id").collect()] == [(None, "v", "", 0), (1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (2, None, "", 0)]
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
