@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepledger.llm import html, lattice, neardup, packing, quality, warc
+from stepledger.llm import html, lattice, neardup, packing, pii, quality, warc
 from stepledger.llm._shared import table
 
 
@@ -34,6 +34,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, *quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, *pii.fit(docs))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), *packing.vocabulary())
@@ -45,6 +51,7 @@ QUERIES = {
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_subword_lattice": op4_subword_lattice,
     "op7_quality_classifier": op7_quality_classifier,
+    "op9_pii_boosting": op9_pii_boosting,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
