@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepledger.llm import html, lattice, neardup, packing, pii, quality, warc
+from stepledger.llm import decontam, html, lattice, neardup, packing, pii, quality, topk, warc
 from stepledger.llm._shared import table
 
 
@@ -28,12 +28,22 @@ def op4_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), lattice.vocabulary())
 
 
+def op6_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test items that documents contain."""
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The learned quality score of every document."""
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, *quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every fiftieth one."""
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     docs = table(spark, sf_dir, "documents")
@@ -50,7 +60,9 @@ QUERIES = {
     "op2_warc_index": op2_warc_index,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_subword_lattice": op4_subword_lattice,
+    "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_histogram_topk": op8_histogram_topk,
     "op9_pii_boosting": op9_pii_boosting,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
