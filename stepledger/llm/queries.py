@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepledger.llm import decontam, html, lattice, neardup, packing, pii, quality, topk, warc
+from stepledger.llm import decontam, html, lattice, linededup, neardup, packing, pii, quality, topk, warc
 from stepledger.llm._shared import table
 
 
@@ -28,6 +28,11 @@ def op4_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), lattice.vocabulary())
 
 
+def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the boilerplate lines of its source."""
+    return linededup.by_site(table(spark, sf_dir, "documents"))
+
+
 def op6_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test items that documents contain."""
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,10 +65,11 @@ QUERIES = {
     "op2_warc_index": op2_warc_index,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_subword_lattice": op4_subword_lattice,
+    "op5_line_frequency": op5_line_frequency,
     "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_histogram_topk": op8_histogram_topk,
     "op9_pii_boosting": op9_pii_boosting,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_line_frequency": linededup.ORACLE_SQL}
