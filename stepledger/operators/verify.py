@@ -34,6 +34,15 @@ def arc(arcs: Column, state: Column, trigger: Column) -> Column:
     return F.try_element_at(arcs, F.concat(state, F.lit("\n"), trigger))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once and standing once in the expression.
+
+    Without it an expression that is used in ten places is ten copies for the
+    optimizer, and those of nested ones multiply.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def stateless(outputs: Column, domain: Domain = DEFAULT) -> Column:
     """For each output of an array what can be said without its state."""
     calls = F.transform(outputs, call_text)
@@ -57,15 +66,19 @@ def stateless(outputs: Column, domain: Domain = DEFAULT) -> Column:
             .when(read["method_kind"] == "z", "null_method")
             .when((read["method_kind"] != "s") | ~method.isin(list(domain.methods)), "unknown_method")
         )
-        parsed = problem.isNull() | problem.isin("null_method", "unknown_method")
-        return F.struct(
-            problem.alias("problem"),
-            F.when(parsed, thought(output)).alias("thinking"),
-            F.when(parsed, text).alias("call"),
-            F.when(parsed, method).alias("method"),
-            F.try_element_at(by_method, method).alias("triggers"),
-            F.when(problem.isNull(), good).otherwise(F.lit(False)).alias("schema_ok"),
-        )
+
+        def known(problem: Column) -> Column:
+            parsed = problem.isNull() | problem.isin("null_method", "unknown_method")
+            return F.struct(
+                problem.alias("problem"),
+                F.when(parsed, thought(output)).alias("thinking"),
+                F.when(parsed, text).alias("call"),
+                F.when(parsed, method).alias("method"),
+                F.try_element_at(by_method, method).alias("triggers"),
+                F.when(problem.isNull(), good).otherwise(F.lit(False)).alias("schema_ok"),
+            )
+
+        return let(problem, known)
 
     return F.transform(pairs, one)
 
@@ -78,60 +91,80 @@ def judge(step: Column, state: Column, expected_trigger: Column, expected_after:
     arc from the state, one that leads to the expected state before others.
     """
     arcs = arc_map(domain)
-    problem, triggers = step["problem"], step["triggers"]
-    query = F.size(triggers) == 0
-    open_ = F.filter(triggers, lambda t: F.map_contains_key(arcs, F.concat(state, F.lit("\n"), t)))
-    claimed = F.nullif(expected_trigger, F.lit(""))
-    to_claimed = F.when(F.array_contains(triggers, claimed), arc(arcs, state, claimed))
-    reached = to_claimed
-    if infer:
-        wanted = F.filter(open_, lambda t: arc(arcs, state, t) == expected_after)
-        first = F.coalesce(F.when(F.nullif(expected_after, F.lit("")).isNotNull(), F.get(wanted, 0)), F.get(open_, 0))
-        reached = F.when(claimed.isNull(), arc(arcs, state, first)).otherwise(to_claimed)
-    reached = F.when(expected_after.isNull() | (reached == expected_after), reached)
-    whole = problem.isNull() & state.isNotNull()
-    known = F.coalesce(whole, F.lit(False))
-    moved = F.coalesce(F.when(query, F.lit(True)).otherwise(reached.isNotNull()), F.lit(False))
-    can = F.coalesce(query | (F.size(open_) > 0), F.lit(False))
-
-    def mark(condition: Column) -> Column:
-        return F.when(F.coalesce(condition, F.lit(False)), 1.0).otherwise(0.0)
+    given = F.struct(step.alias("step"), state.alias("state"), F.nullif(expected_trigger, F.lit("")).alias("claimed"), expected_after.alias("after"))
+
+    def with_arcs(g: Column) -> Column:
+        open_ = F.filter(g["step"]["triggers"], lambda t: F.map_contains_key(arcs, F.concat(g["state"], F.lit("\n"), t)))
+        return let(F.struct(g.alias("g"), open_.alias("open")), with_target)
+
+    def with_target(x: Column) -> Column:
+        g = x["g"]
+        to = F.when(F.array_contains(g["step"]["triggers"], g["claimed"]), arc(arcs, g["state"], g["claimed"]))
+        if infer:
+            wanted = F.filter(x["open"], lambda t: arc(arcs, g["state"], t) == g["after"])
+            first = F.coalesce(F.when(F.nullif(g["after"], F.lit("")).isNotNull(), F.get(wanted, 0)), F.get(x["open"], 0))
+            to = F.when(g["claimed"].isNull(), arc(arcs, g["state"], first)).otherwise(to)
+        return let(F.struct(g.alias("g"), (F.size(x["open"]) > 0).alias("has_arc"), to.alias("to")), with_marks)
+
+    def with_marks(x: Column) -> Column:
+        g = x["g"]
+        query = F.coalesce(F.size(g["step"]["triggers"]) == 0, F.lit(False))
+        fits = F.coalesce(x["to"].isNotNull() & (g["after"].isNull() | (x["to"] == g["after"])), F.lit(False))
+        known = g["step"]["problem"].isNull() & g["state"].isNotNull()
+        marks = F.struct(
+            g.alias("g"),
+            known.alias("known"),
+            F.coalesce(known & g["step"]["schema_ok"], F.lit(False)).alias("schema"),
+            (known & (query | F.coalesce(x["has_arc"], F.lit(False)))).alias("can"),
+            (known & (query | fits)).alias("moved"),
+            F.when(known, F.when(query, g["state"]).when(fits, x["to"])).alias("new_state"),
+        )
+        return let(marks, with_error)
+
+    def with_error(m: Column) -> Column:
+        problem = m["g"]["step"]["problem"]
+        error = F.when(problem.isNotNull(), problem).when(m["g"]["state"].isNull(), "no_prior_state").when(~m["schema"], "schema").when(~m["moved"], "transition")
+        # a missing state undoes what was parsed; an unknown method comes first
+        parsed = F.coalesce(m["known"] | problem.isin("null_method", "unknown_method"), F.lit(False))
+        return let(F.struct(m.alias("m"), error.alias("error"), parsed.alias("parsed")), finished)
+
+    def finished(x: Column) -> Column:
+        m, error, parsed = x["m"], x["error"], x["parsed"]
+        step, state = m["g"]["step"], m["g"]["state"]
+        claimed, after = m["g"]["claimed"], m["g"]["after"]
+        detail = (
+            F.when(error == "no_think", F.lit("no thought in its tags before the call"))
+            .when(error == "bad_json", F.lit("the call is not strict JSON"))
+            .when(error == "not_an_object", F.lit("the call is not a JSON object"))
+            .when(error == "missing_keys", F.lit("the call lacks one of its four keys"))
+            .when(error == "bad_version", F.lit("jsonrpc is not '2.0'"))
+            .when(error == "null_method", F.lit("method is null in the call"))
+            .when(error == "unknown_method", F.concat(F.lit("unknown method: "), F.coalesce(step["method"], F.lit("not a string"))))
+            .when(error == "no_prior_state", F.lit("the context has no 'prior_state'"))
+            .when(error == "schema", F.concat(F.lit("parameters of "), step["method"], F.lit(" break their schema")))
+            .when(error == "transition", F.concat(F.lit("transition_valid=0: "), step["method"], F.lit(" from "), state, F.lit(" with trigger "), F.coalesce(claimed, F.lit("none")), F.lit(" and expected state "), F.coalesce(after, F.lit("any"))))
+        )
 
-    error = (
-        F.when(problem.isNotNull(), problem)
-        .when(state.isNull(), "no_prior_state")
-        .when(~step["schema_ok"], "schema")
-        .when(~moved, "transition")
-    )
-    detail = (
-        F.when(error == "no_think", F.lit("no thought in its tags before the call"))
-        .when(error == "bad_json", F.lit("the call is not strict JSON"))
-        .when(error == "not_an_object", F.lit("the call is not a JSON object"))
-        .when(error == "missing_keys", F.lit("the call lacks one of its four keys"))
-        .when(error == "bad_version", F.lit("jsonrpc is not '2.0'"))
-        .when(error == "null_method", F.lit("method is null in the call"))
-        .when(error == "unknown_method", F.concat(F.lit("unknown method: "), F.coalesce(step["method"], F.lit("not a string"))))
-        .when(error == "no_prior_state", F.lit("the context has no 'prior_state'"))
-        .when(error == "schema", F.concat(F.lit("parameters of "), step["method"], F.lit(" break their schema")))
-        .when(error == "transition", F.concat(F.lit("transition_valid=0: "), step["method"], F.lit(" from "), state, F.lit(" with trigger "), F.coalesce(claimed, F.lit("none")), F.lit(" and expected state "), F.coalesce(expected_after, F.lit("any"))))
-    )
-    # a missing state undoes what was parsed; an unknown method comes first
-    parsed = F.coalesce(problem.isNull() & state.isNotNull() | problem.isin("null_method", "unknown_method"), F.lit(False))
-    return F.struct(
-        F.coalesce(known & step["schema_ok"] & can & moved, F.lit(False)).alias("passed"),
-        mark(parsed).alias("parse"),
-        mark(known & step["schema_ok"]).alias("schema"),
-        mark(known).alias("method_known"),
-        mark(known & can).alias("precondition_met"),
-        mark(known & moved).alias("transition_valid"),
-        mark(known & moved).alias("sequence_optimal"),
-        F.when(parsed, step["thinking"]).alias("thinking"),
-        F.when(parsed, step["call"]).alias("call"),
-        F.when(parsed, step["method"]).alias("method"),
-        F.when(known, F.when(query, state).otherwise(reached)).alias("new_state"),
-        error.alias("error_class"),
-        detail.alias("error_message"),
-    ).cast(RESULT)
+        def mark(condition: Column) -> Column:
+            return F.when(condition, 1.0).otherwise(0.0)
+
+        return F.struct(
+            (m["known"] & m["schema"] & m["can"] & m["moved"]).alias("passed"),
+            mark(parsed).alias("parse"),
+            mark(m["schema"]).alias("schema"),
+            mark(m["known"]).alias("method_known"),
+            mark(m["can"]).alias("precondition_met"),
+            mark(m["moved"]).alias("transition_valid"),
+            mark(m["moved"]).alias("sequence_optimal"),
+            F.when(parsed, step["thinking"]).alias("thinking"),
+            F.when(parsed, step["call"]).alias("call"),
+            F.when(parsed, step["method"]).alias("method"),
+            m["new_state"].alias("new_state"),
+            error.alias("error_class"),
+            detail.alias("error_message"),
+        ).cast(RESULT)
+
+    return let(given, with_arcs)
 
 
 def verify_steps(steps: DataFrame, domain: Domain = DEFAULT, infer: bool = False, output: str = "output", state: str = "prior_state", trigger: str = "expected_trigger", after: str = "expected_state_after", result: str = "result") -> DataFrame:
@@ -155,10 +188,14 @@ def fold(steps: Column, facts: Column, initial: Column, domain: Domain = DEFAULT
 
     def merge(acc: Column, p: Column) -> Column:
         r = judge(p["facts"], acc["state"], p["step"]["expected_trigger"], p["step"]["expected_state_after"], domain, infer)
-        after = F.struct(
-            F.when(r["passed"] & r["new_state"].isNotNull(), r["new_state"]).otherwise(acc["state"]).alias("state"),
-            F.concat(acc["results"], F.array(r)).alias("results"),
-        )
+
+        def add(r: Column) -> Column:
+            return F.struct(
+                F.when(r["passed"] & r["new_state"].isNotNull(), r["new_state"]).otherwise(acc["state"]).alias("state"),
+                F.concat(acc["results"], F.array(r)).alias("results"),
+            )
+
+        after = let(r, add)
         if stop_at_failure:
             return F.when(F.exists(acc["results"], lambda x: ~x["passed"]), acc).otherwise(after)
         return after
