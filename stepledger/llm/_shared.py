@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch that goes to a Python worker.
 BATCH_ROWS, BATCH_BYTES = 512, 32 << 20
@@ -24,6 +25,12 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def hash_share(column: Column, wanted: int, of: int) -> Column:
+    """A condition that holds for about ``wanted`` of so many rows, by a hash; for all where they are fewer."""
+    share = min(1.0, wanted / max(1, of))
+    return F.lit(True) if share >= 1 else F.pmod(F.xxhash64(column), F.lit(1 << 31)) < int(share * (1 << 31))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster shares.
 
