@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import small_batches
+from stepledger.llm._shared import hash_share, small_batches
 
 BUCKETS, DIM, GRAMS = 1 << 14, 8, (3, 4)
 MAX_ROWS, EPOCHS, RATE, SEED = 2_000, 12, 0.5, 17
@@ -110,7 +110,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
         .agg(F.min("y").alias("y"))
     )
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = [known.where(F.col("y") == y).orderBy(*order).limit(max_rows // 2) for y in (0, 1)]
+    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    # about twice as many as are wanted by their hash, so that no task sends more than its part of them
+    picked = [known.where((F.col("y") == y) & hash_share(F.col("doc_id"), max_rows, sizes.get(y, 0))).orderBy(*order).limit(max_rows // 2) for y in (0, 1)]
     wanted = picked[0].unionByName(picked[1])
 
     def run(batches):
