@@ -185,7 +185,9 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
             raw = file.read_at(max(e[1] + e[2] for e in group) - start, start)
             yield take(parse(zlib.decompress(raw[o - start : o - start + n], 31)) for _, o, n in group)
 
-    spread = index.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / (4 * RANGE_BYTES)))
+    # the rows are small, but each stands for bytes to read: tasks follow these
+    tasks = (index.agg(F.sum("length")).first()[0] or 0) // (2 * RANGE_BYTES) + 2
+    spread = index.select("file", "offset", "length").repartition(tasks, "file", F.floor(F.col("offset") / RANGE_BYTES))
     return spread.sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
