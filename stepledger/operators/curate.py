@@ -10,6 +10,7 @@ from stepledger.domain import DEFAULT, Domain
 from stepledger.functions.jsontext import loads
 from stepledger.functions.text import render, without_fences
 from stepledger.operators.rejects import classify
+from stepledger.operators.score import places
 from stepledger.operators.verify import verify_records
 
 STEP = "struct<prior_state:string,situation:string,prior_calls:string,thinking:string,tool_call:string,expected_trigger:string,expected_state_after:string>"
@@ -89,9 +90,8 @@ def unique_ids(rows: DataFrame, key: str = "trajectory_id", order: str = "row_id
     place among those of its id, put after one more underscore than any id
     that could meet them has, so they are the same on every run.
     """
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
     longest = rows.agg(F.max(F.length(F.regexp_extract(F.col(key), r"(_+)\d+$", 1))).alias("n"))
-    marked = rows.withColumn("nth", nth).crossJoin(F.broadcast(longest))  # one row
+    marked = places(rows, [key], [order], F.shiftright(order, 20), "nth").crossJoin(F.broadcast(longest))  # one row
     suffix = F.concat(F.repeat(F.lit("_"), F.coalesce(F.col("n"), F.lit(0)) + 1), F.col("nth").cast("string"))
     return marked.withColumn(key, F.when(F.col("nth") > 0, F.concat(F.col(key), suffix)).otherwise(F.col(key))).drop("nth", "n")
 

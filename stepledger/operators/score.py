@@ -98,7 +98,31 @@ def scorecard(graded: DataFrame, run_name: str) -> DataFrame:
     return run_scores(graded).crossJoin(modes).crossJoin(each).withColumn("run_name", F.lit(run_name))
 
 
-def rolling_means(rows: DataFrame, columns: list[str], order: list[str], by: list[str] | None = None, window: int = 100) -> DataFrame:
-    """Means over the last rows up to each row, in an order; ``by`` deals the rows into runs of their own."""
-    over = Window.partitionBy(*(by or [])).orderBy(*order).rowsBetween(-(window - 1), 0)
-    return rows.withColumns({f"mean_{c}": F.avg(c).over(over) for c in columns})
+def places(rows: DataFrame, by: list[str], order: list[str], bins: Column, name: str = "place") -> DataFrame:
+    """Rows with their place, from 0, among those of a group, in an order.
+
+    ``bins`` grows with the order. Rows are numbered within a bin, and bins by
+    the counts before them, so that no task orders a large group as a whole.
+    """
+    rows = rows.withColumn("_bin", bins)
+    counts = rows.groupBy(*by, "_bin").agg(F.count("*").alias("_here"))
+    upto = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_here").over(upto), F.lit(0))).drop("_here")
+    numbered = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*by, "_bin").orderBy(*order)))
+    keys = [numbered[k].eqNullSafe(counts[k]) for k in (*by, "_bin")]
+    joined = numbered.join(counts, keys).select(*[numbered[c] for c in numbered.columns], "_before")
+    return joined.withColumn(name, F.col("_before") + F.col("_nth") - 1).drop("_bin", "_nth", "_before")
+
+
+def rolling_means(rows: DataFrame, columns: list[str], order: list[str], bins: Column, by: list[str] | None = None, window: int = 100, block: int = 1 << 16) -> DataFrame:
+    """Means over the last rows up to each row, in an order; ``by`` deals the rows into runs of their own.
+
+    A run is cut into blocks of rows; each also gets the rows before it that
+    its first windows reach back to.
+    """
+    by, block = by or [], max(block, window)
+    placed = places(rows, by, order, bins, "_place").withColumn("_block", F.floor(F.col("_place") / block))
+    back = placed.where(F.col("_place") % block >= block - (window - 1)).withColumn("_block", F.col("_block") + 1).withColumn("_own", F.lit(False))
+    over = Window.partitionBy(*by, "_block").orderBy("_place").rowsBetween(-(window - 1), 0)
+    out = placed.withColumn("_own", F.lit(True)).unionByName(back).withColumns({f"mean_{c}": F.avg(c).over(over) for c in columns})
+    return out.where("_own").drop("_place", "_block", "_own")

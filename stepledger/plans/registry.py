@@ -383,7 +383,7 @@ def resume_remaining(spark, sf_dir):
 @query("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS mean_value FROM events")
 def rolling_mean(spark, sf_dir):
     """Means over the last ten rows."""
-    out = score.rolling_means(table(spark, sf_dir, "events"), ["value"], ["ts", "event_id"], ["user_id"], 10)
+    out = score.rolling_means(table(spark, sf_dir, "events"), ["value"], ["ts", "event_id"], F.to_date("ts"), ["user_id"], 10)
     return out.select("event_id", F.round("mean_value", 6).alias("mean_value"))
 
 

@@ -231,6 +231,21 @@ def test_unique_ids_and_split(spark):
         curate.split(ids, "key", 5, 0.9, 0.2)
 
 
+@pytest.mark.parametrize("by", [None, ["g"]])
+def test_rolling_means_match_a_queue(spark, by):
+    rng = random.Random(2)
+    rows = [(i, rng.choice([None, "a", "b"]), rng.random() if rng.random() < 0.9 else None) for i in range(300)]
+    frame = spark.createDataFrame(rows, "i long, g string, v double").repartition(5)
+    got = {r["i"]: r["mean_v"] for r in score.rolling_means(frame, ["v"], ["i"], F.floor(F.col("i") / 7), by, window=4, block=10).collect()}
+    queues = {}
+    for i, g, v in rows:
+        q = queues.setdefault(g if by else 0, [])
+        q.append(v)
+        del q[:-4]
+        kept = [x for x in q if x is not None]
+        assert (got[i] is None) == (not kept) and (not kept or got[i] == pytest.approx(sum(kept) / len(kept)))
+
+
 def test_chat_and_prior_calls(spark):
     steps = [("S0", "why", None, "t0", '{"a": 1}', None, None), ("S1", "", None, "t1", None, None, None), ("S2", None, "[9]", "t2", '{"c": 3}', None, None), ("S3", None, None, "t3", '{"d": 4}', None, None)]
     frame = spark.createDataFrame([("r", steps)], f"trajectory_id string, steps array<{curate.STEP}>").withColumn("steps", curate.prior_calls(F.col("steps")))
