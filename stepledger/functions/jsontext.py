@@ -78,14 +78,19 @@ def _cleaned(row: dict) -> dict:
 
 
 def read_calls(texts: Column) -> Column:
-    """Facts of every text of an array, in its order; null for null."""
+    """Facts of every text of an array, in its order; null for null.
+
+    The call is marked as not deterministic: filters on what was found then
+    stay above it, instead of taking a copy of it, and of all below, along.
+    Filters on other columns belong before it.
+    """
 
     @F.arrow_udf(f"array<{CALL}>")
     def read(arrays: pa.Array) -> pa.Array:
         rows = [None if a is None else [_cleaned(read_call(t)) for t in a] for a in arrays.to_pylist()]
         return pa.array(rows, pa.list_(CALL_ARROW))
 
-    return read(texts)
+    return read.asNondeterministic()(texts)
 
 
 def canonical(text: Column, drop: tuple[str, ...] = ()) -> Column:
