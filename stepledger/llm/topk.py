@@ -80,12 +80,12 @@ class Block:
                     yield at, ids[part], inner(queries, others), self.ids[at][:, None] != ids[part][None, :]
 
 
-def bin_counts(block: Block, low: np.ndarray, width: np.ndarray, batches):
-    """Counts of (query, bin) in the ranges that start at low."""
+def bin_counts(block: Block, low: np.ndarray, high: np.ndarray, width: np.ndarray, batches):
+    """Counts of (query, bin) of scores from low to below high; the last bin may reach beyond, its counts do not."""
     total = np.zeros((len(block.ids), BINS), dtype=np.int64)
     for at, _, scores, counts in block.scores(batches):
         bins = (scores - low[at][:, None]) // width[at][:, None]
-        inside = counts & (bins >= 0) & (bins < BINS)
+        inside = counts & (bins >= 0) & (bins < BINS) & (scores < high[at][:, None])
         rows = np.broadcast_to(at[:, None], scores.shape)[inside]
         total += np.bincount(rows * BINS + bins[inside], minlength=total.size).reshape(total.shape)
     q, b = np.nonzero(total)
@@ -97,12 +97,13 @@ def kth_values(vecs: DataFrame, block: Block, bound: int, k: int) -> np.ndarray:
     """Each query's kth largest score, or the smallest possible one if it has fewer candidates."""
     n = len(block.ids)
     low = np.full(n, -bound, dtype=np.int64)
+    high = np.full(n, bound + 1, dtype=np.int64)
     width = np.full(n, -(-(2 * bound + 1) // BINS), dtype=np.int64)
     need, done = np.full(n, k), np.zeros(n, dtype=bool)
     while not done.all():
 
-        def run(batches, low=low, width=width):
-            return bin_counts(block, low, width, batches)
+        def run(batches, low=low, high=high, width=width):
+            return bin_counts(block, low, high, width, batches)
 
         hist = np.zeros((n, BINS), dtype=np.int64)
         for r in vecs.mapInArrow(run, "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n")).collect():
@@ -116,6 +117,7 @@ def kth_values(vecs: DataFrame, block: Block, bound: int, k: int) -> np.ndarray:
             b = int(good[-1])
             need[q] -= above[q, b + 1] if b + 1 < BINS else 0
             low[q] += b * width[q]
+            high[q] = min(high[q], low[q] + width[q])
             done[q] = width[q] == 1
             width[q] = -(-width[q] // BINS)
     return low

@@ -30,7 +30,7 @@ def run(spark, rows, **kw):
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(1)
-    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(400)]
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(400)]  # scores reach beyond a million
     rows += [(i, rows[50][1]) for i in range(400, 480)]  # many equal scores
     rows += [(500, None), (501, [1.0, None] + [0.0] * 6), (502, [float("nan")] * 8), (503, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (7, [0.0] * 8), (7, [0.0] * 8), (550, [1.0, 2.0]), (600, []), (601, [])]
     return rows
@@ -40,6 +40,40 @@ def test_matches_brute_force(spark, rows):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_kth_values_for_many_ranges(seed):
+    """Histogram rounds against sorting, without Spark, for ranges that bins do not divide evenly."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    dim = 64
+    v = rng.normal(0, rng.choice([0.1, 0.3, 1.0]), (500, dim))
+    block = topk.Block([(int(i), v[i].tolist()) for i in range(0, 500, 50)])
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(500)), pa.array(v.tolist(), pa.list_(pa.float64()))], names=["vec_id", "v"])
+
+    class Frame:
+        def mapInArrow(self, run, _):
+            self.out = [r for b in run([batch]) for r in b.to_pylist()]
+            return self
+
+        def groupBy(self, *_):
+            return self
+
+        def agg(self, *_):
+            return self
+
+        def collect(self):
+            return self.out
+
+    ints = np.floor(256 * v).astype(np.int64)
+    bound = int(max((np.abs(256 * v) + 1).__pow__(2).sum(axis=1))) + 1
+    least = topk.kth_values(Frame(), block, bound, 5)
+    for q, low in zip(block.ids, least):
+        scores = np.sort(np.delete(ints @ ints[q], q))[::-1]
+        assert low == scores[4]
+
+
 def test_blocks_of_queries_and_few_candidates(spark, rows):
     assert run(spark, rows, block_queries=3) == brute(rows)
     assert run(spark, rows[:4]) == brute(rows[:4])
