@@ -25,7 +25,7 @@ from stepledger.llm._shared import materialise, small_batches
 
 CAPACITY = 2048
 #: Pieces that one rank window holds together.
-RANK_ROWS = 200_000
+RANK_ROWS = 4_000
 #: Search nodes for one completion, and completions for the whole search.
 FILL_NODES, SEARCH_NODES = 2_000, 20_000
 
