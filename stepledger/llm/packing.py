@@ -26,8 +26,8 @@ from stepledger.llm._shared import materialise, small_batches
 CAPACITY = 2048
 #: Pieces that one rank window holds together.
 RANK_ROWS = 4_000
-#: Search nodes for one completion, and completions for the whole search.
-FILL_NODES, SEARCH_NODES = 2_000, 20_000
+#: Search nodes for one completion, and for the whole search, about two seconds.
+FILL_NODES, SEARCH_NODES = 500, 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ENCODERS: dict = {}
@@ -125,13 +125,31 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
     return [x for group in room.values() for x in group]
 
 
-def completions(space: int, counts: dict[int, int], sizes: list[int], keep: int) -> list[tuple[int, dict[int, int]]]:
-    """Undominated fillings of a space, least waste first, at most ``keep``.
+def least_bins(counts: dict[int, int], capacity: int) -> int:
+    """A lower bound: for each small size a, what stands above capacity - a is alone in its bin, what is above
+    half the capacity has a bin of its own, and the rest from a on needs the space that these leave."""
+    n, total = np.zeros(capacity + 2, dtype=np.int64), np.zeros(capacity + 2, dtype=np.int64)
+    for size, count in counts.items():
+        n[size], total[size] = count, size * count
+    n, total = np.cumsum(n), np.cumsum(total)
+    half = capacity // 2
+    best = -(-int(total[-1]) // capacity)
+    for a in range(half + 1):
+        alone, big = n[-1] - n[capacity - a], n[capacity - a] - n[half]
+        big_total = total[capacity - a] - total[half]
+        rest = total[half] - (total[a - 1] if a else 0)
+        best = max(best, int(alone + big + max(0, -(-(rest - (big * capacity - big_total)) // capacity))))
+    return best
+
+
+def completions(space: int, counts: dict[int, int], sizes: list[int], keep: int, budget: list[int]) -> list[tuple[int, dict[int, int]]]:
+    """Undominated fillings of a space, least waste first, at most ``keep``; takes what it searches off the budget.
 
     ``sizes`` ascend. A filling is dominated where one unused document could
     replace a document of it, or be added, without exceeding the space; one
     document that fills the space exactly dominates all else.
     """
+    budget[0] -= 1
     if counts.get(space):
         return [(0, {space: 1})]
     found: list[tuple[int, dict[int, int]]] = []
@@ -141,6 +159,7 @@ def completions(space: int, counts: dict[int, int], sizes: list[int], keep: int)
     def fill(left: int, top: int) -> bool:
         nonlocal nodes
         nodes -= 1
+        budget[0] -= 1
         fits = False
         for i in range(min(top, bisect_right(sizes, left)) - 1, -1, -1):
             size = sizes[i]
@@ -180,10 +199,10 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, branch: int
     counts = {s: n for s, n in counts.items() if n}
     total = sum(s * n for s, n in counts.items())
     best = best_fit(counts, capacity)
-    least = max(-(-total // capacity), sum(n for s, n in counts.items() if 2 * s > capacity))
-    nodes = SEARCH_NODES
+    least = least_bins(counts, capacity)
+    budget = [SEARCH_NODES]
     stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
-    while stack and nodes > 0:
+    while stack and budget[0] > 0:
         left, plan, bins, waste = stack.pop()
         upper = sum(n for _, n in best)
         if upper <= least:
@@ -194,12 +213,11 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, branch: int
             continue
         if waste > (upper - 1) * capacity - total:
             continue
-        nodes -= 1
         sizes = sorted(left)
         top = sizes[-1]
         rest = left | {top: left[top] - 1}
         options = []
-        for wasted, filling in completions(capacity - top, rest, sizes, branch):
+        for wasted, filling in completions(capacity - top, rest, sizes, branch, budget):
             whole = filling | {top: filling.get(top, 0) + 1}
             times = min(left[s] // c for s, c in whole.items())
             after = {s: n for s in left if (n := left[s] - whole.get(s, 0) * times)}
