@@ -236,8 +236,12 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Of each component the document with the smallest doc_id, with all its columns."""
+    """Of each component the document with the smallest doc_id, with all its columns.
+
+    Rows that repeat a doc_id are one document. A row without one stays: no
+    other row can stand for what cannot be named.
+    """
     marked = near_duplicates(docs, distance)
-    kept = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    kept = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    return rows.unionByName(docs.where(F.col("doc_id").isNull()))
