@@ -30,8 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores: a scan of a few small files has fewer tasks than that, and grading is costly per row."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.outputs(table(spark, sf_dir, "events"))
+    return B.outputs(spread(table(spark, sf_dir, "events").select("event_id", "user_id", "ts")))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +182,7 @@ SAMPLED = f"""WITH samples AS (
 
 def sampled(spark, sf_dir) -> DataFrame:
     """Records of one step with a greedy output and four samples."""
-    rows = B.outputs(table(spark, sf_dir, "events"), B.SAMPLE_SID, ("event_id",))
+    rows = B.outputs(spread(table(spark, sf_dir, "events").select("event_id")), B.SAMPLE_SID, ("event_id",))
     step = F.array(F.struct("expected_trigger", "expected_state_after"))
     shaped = rows.select(F.floor(F.col("event_id") / 5).alias("trajectory_id"), (F.col("event_id") % 5).alias("sample_idx"), F.col("prior_state").alias("initial_state"), F.lit(None).cast("string").alias("final_state"), step.alias("steps"), F.array("output").alias("outputs"), F.col("output").alias("final_call"))
     return verify.verify_records(shaped)
