@@ -24,8 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return neardup.keep_one(docs)
+    """One document of each group of near-duplicates: five-word shingle sets with a similarity of 0.8 or more."""
+    return neardup.keep_similar(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,15 @@ Defined results: a null text is an empty one, its fingerprint is zero, which
 links like any other; a null doc_id gets a fingerprint and the component's
 smallest doc_id; rows that repeat a doc_id are kept one by one; an empty table
 gives an empty result; columns other than doc_id and text are not read.
+
+``keep_similar`` is for pipelines: documents link if their sets of five-word
+shingles have a similarity of 0.8 or more. Of a total order of shingles such
+sets share one of their first fifth, so fingerprints of the sets are dealt out
+by these shingles and each group is searched with the same index in a radius
+that leaves out about one such link in 100,000 at worst (where fingerprint
+bits are independent). The order is by hash, with frequent shingles last; any
+order finds the same links. How many leading shingles two sets share bounds
+their similarity, and what that leaves is compared exactly.
 """
 
 from __future__ import annotations
@@ -28,9 +37,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import materialise, small_batches
+from stepledger.llm._shared import hash_share, materialise, small_batches
 
 BITS, DISTANCE, SHINGLE = 64, 3, 3
+#: Words of a pipeline's shingles, least similarity of their sets (a fraction), and bits in which linked ones may differ.
+WORDS, SIMILAR, RADIUS = 5, (4, 5), 26
+#: Documents in which frequent shingles are looked for, how many have one, and how many are taken at most.
+SEEN_DOCS, SEEN_IN, FREQUENT = 8_000, 8, 50_000
 #: Children of an index node, and candidates that a search holds at once.
 FANOUT, FRONTIER = 16, 1 << 20
 #: Fingerprints of one group, on average over a random table, and rows of one task.
@@ -235,6 +248,139 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return marks.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
+    """The distinct word shingles of a text by their hashes, sorted; all words are one where they are fewer."""
+    words = (text or "").encode().lower().split()
+    joined = b" ".join(words)
+    ends = list(accumulate(len(w) + 1 for w in words))
+    last = ends[size - 1 :] or ends[-1:]
+    digests = b"".join(xxhash.xxh64_digest(joined[a : b - 1], 42) for a, b in zip([0, *ends], last))
+    return np.unique(np.frombuffer(digests, dtype=">u8").astype(np.uint64))
+
+
+def set_fingerprint(found: np.ndarray) -> int:
+    """The 64-bit SimHash of a set of shingles, unsigned."""
+    counts = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(found), CHUNK):
+        counts += np.unpackbits(found[at : at + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * counts > len(found)).tobytes(), "big")
+
+
+def leading(found: np.ndarray, late: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The shingles of which every similar set has one: the first fifth, the late ones (sorted, with places) coming last."""
+    low, high = SIMILAR
+    n = len(found) - -(-low * len(found) // high) + 1 if len(found) else 0
+    if n and len(late):
+        at = np.minimum(np.searchsorted(late, found), len(late) - 1)
+        found = found[np.argsort(np.where(late[at] == found, place[at], -1), kind="stable")]
+    return found[:n]
+
+
+def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many documents have, by a hash share of them, sorted; and their places by frequency."""
+    some = docs.where(hash_share(F.col("doc_id"), SEEN_DOCS, docs.count())).dropDuplicates(["text"])
+    counts = shingle_sets(some, whole=True).select(F.explode("held").alias("h")).groupBy("h").count().where(F.col("count") >= SEEN_IN)
+    rows = counts.orderBy(F.desc("count"), "h").limit(FREQUENT).collect()
+    found = np.array([r["h"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], (len(rows) - order).astype(np.int64)
+
+
+def shingle_sets(docs: DataFrame, whole: bool = False, late: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """doc_id, key of the set, fingerprint, size n and shingles of every document: all or the leading ones."""
+    small_batches(docs.sparkSession)
+    late = late or (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                sets = [shingles(t) for t in part.column(1).to_pylist()]
+                n = [len(s) for s in sets]
+                keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
+                marks = np.array([set_fingerprint(s) for s in sets], dtype=np.uint64)
+                held = sets if whole else [leading(s, *late) for s in sets]
+                offsets = np.cumsum([0, *map(len, held)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(held).view(np.int64)))
+                columns = [part.column(0), pa.array(keys.view(np.int64)), pa.array(marks.view(np.int64)), pa.array(n, pa.int64()), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "fp", "n", "held"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, key long, fp long, n long, held array<long>")
+
+
+def candidates(distinct: DataFrame) -> DataFrame:
+    """Pairs a, b of keys that share enough leading shingles, differ in few bits and are of similar size.
+
+    Of two sets the one whose leading shingles end first has all that it
+    shares in the other's, so at most its remaining ones are shared besides.
+    """
+    rows = distinct.agg(F.sum(F.size("held"))).first()[0] or 0
+    tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // TASK_ROWS)
+    low, high = SIMILAR
+
+    def run(batches):
+        kept = [b for b in batches if b.num_rows]
+        if not kept:
+            return
+        table = pa.Table.from_batches(kept)
+        key, codes, n, shingle = (table.column(c).to_numpy() for c in ("key", "fp", "n", "h"))
+        codes = codes.view(np.uint64)
+        _, group, size = np.unique(shingle, return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(size[group] > 1)
+        order = shared[np.lexsort((gray_rank(codes[shared]), group[shared]))]
+        if not len(order):
+            return
+        key, codes, n, group = key[order], codes[order], n[order], group[order]
+        for i, j in GrayIndex(codes, group).links(RADIUS):
+            near = (high * n[i] >= low * n[j]) & (high * n[j] >= low * n[i])
+            i, j = i[near], j[near]
+            # the shared leading shingles that a similar pair has at least
+            rest = np.maximum(low * n[i] + high - 1, low * n[j] + high - 1) // high - 1
+            need = -(-low * (n[i] + n[j]) // (low + high)) - rest
+            columns = [np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), need]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "need"])
+
+    dealt = distinct.select("key", "fp", "n", F.explode("held").alias("h")).repartition(tasks, "h")
+    found = dealt.mapInArrow(run, "a long, b long, need long").groupBy("a", "b")
+    return found.agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n >= need").select("a", "b")
+
+
+def similar_edges(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """All pairs u, v of keys whose shingle sets are similar enough, compared whole."""
+    pairs = materialise(candidates(distinct), "candidates")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    first = distinct.join(keys, "key", "left_semi").select(F.col("first").alias("doc_id")).distinct()
+    sets = shingle_sets(docs.select("doc_id", "text").join(first, "doc_id", "left_semi"), whole=True)
+    sets = materialise(sets.join(keys, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    left = sets.select(F.col("key").alias("a"), F.col("held").alias("s"))
+    right = sets.select(F.col("key").alias("b"), F.col("held").alias("t"))
+    both = F.size(F.array_intersect("s", "t"))
+    low, high = SIMILAR
+    return pairs.join(left, "a").join(right, "b").where(high * both >= low * (F.size("s") + F.size("t") - both)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def keep_similar(docs: DataFrame) -> DataFrame:
+    """Of each component of similar documents the one with the smallest doc_id, with all its columns.
+
+    Documents without words are one component. Rows that repeat a doc_id are
+    one document; a row without one stays and links no others.
+    """
+    named = docs.where(F.col("doc_id").isNotNull())
+    marks = shingle_sets(named, late=frequent(named)).groupBy("key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("held").alias("held"))
+    distinct = materialise(marks, "distinct")
+    labels = components(similar_edges(named, distinct), "similar")
+    of = distinct.join(labels, distinct["key"] == labels["node"], "left").select("first", F.coalesce("label", "key").alias("label"))
+    kept = of.groupBy("label").agg(F.min("first").alias("_kept")).select("_kept").distinct()
+    return rows_of(docs, kept)
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row for each doc_id that is kept, and all rows without one."""
+    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    return rows.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Of each component the document with the smallest doc_id, with all its columns.
 
@@ -243,5 +389,4 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     marked = near_duplicates(docs, distance)
     kept = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where(F.col("doc_id").isNull()))
+    return rows_of(docs, kept)

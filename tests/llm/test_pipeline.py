@@ -65,3 +65,32 @@ def test_run_returns_the_last_stage(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns[:2] == ["doc_id", "piece"] and out.count() > 100
     assert decontam.RATE > 0
+
+
+@pytest.mark.parametrize("seen", [3, neardup.SEEN_IN])
+def test_near_duplicates_are_those_of_similar_shingle_sets(spark, monkeypatch, seen):
+    monkeypatch.setattr(neardup, "SEEN_IN", seen)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for n in [4, 5, 6, 9, 30, 120, 250, 250, 400]:
+        base = [rng.choice(words) for _ in range(n)]
+        texts.append(base)
+        for edits in (0, 1, 1, 2, 4, 8):
+            copy = base + [rng.choice(words)] * (edits == 1)
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(copy)
+    texts += [["w0"] * 50 + t for t in texts[:3]] + [[], []]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} or {tuple(t)} for t in texts]
+    label, wide = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                wide += (neardup.fingerprint(" ".join(texts[i])) ^ neardup.fingerprint(" ".join(texts[j]))).bit_count() > 3
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    rows = [(i, " ".join(t), "keep") for i, t in enumerate(texts)] + [(None, " ".join(texts[0]), "keep")]
+    out = corpus_pipeline.simhash_neardup(spark, spark.createDataFrame(rows, "doc_id long, text string, other string"), "")
+    assert wide and out.columns == ["doc_id", "text", "other"]
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in out.collect()) == [-1, *sorted(set(label))]
