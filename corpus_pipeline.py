@@ -19,8 +19,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
-    return linededup.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """All documents, without the boilerplate lines of their source; copies of a text count once."""
+    return linededup.drop_boilerplate(docs, once=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

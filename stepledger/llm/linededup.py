@@ -10,7 +10,9 @@ on average has fewer than l / ratio of them.
 Defined results: a null text stays null and counts as a page without lines; a
 null host is a host of its own; rows that repeat count as pages each; lines on
 fewer than ``min_pages`` pages stay, so small hosts lose nothing; an empty
-table gives an empty result; other columns stay as they are.
+table gives an empty result; other columns stay as they are. With ``once``
+pages of a host that have equal lines (blank ones and surrounding spaces
+aside) count as one page, so the copies of a text are no boilerplate.
 """
 
 from __future__ import annotations
@@ -39,25 +41,29 @@ def digest(line: Column) -> Column:
     return F.unhex(F.md5(F.trim(line)))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
     """host and bad, the digests of its boilerplate lines."""
     pages = docs.select(F.col(host).cast("string").alias("host"), F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1).alias("lines"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     marks = F.array_distinct(F.transform(F.filter("lines", lambda x: F.trim(x) != ""), digest))
+    if once:
+        page = F.md5(F.array_join(F.filter(F.transform("lines", F.trim), lambda x: x != ""), "\n"))
+        pages = materialise(pages.select("host", page.alias("page"), marks.alias("marks")).dropDuplicates(["host", "page"]), "pages")
+        marks = F.col("marks")
+    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     counts = pages.select("host", F.explode(marks).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     counts = counts.withColumnRenamed("host", "of")
     found = counts.join(totals, counts["of"].eqNullSafe(totals["host"])).where(F.col("n") > ratio * F.col("pages"))
     return found.groupBy("host").agg(F.collect_list("line").alias("bad"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counted: bool = False) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counted: bool = False, once: bool = False) -> DataFrame:
     """The rows with the other lines only; with n_lines and n_dropped if wanted.
 
     The written list of bad lines has a known size: the join broadcasts it
     where the session's threshold allows and shuffles by host otherwise.
     """
     of, bad, lines, left = unused(docs, "of", "bad", "lines", "left")
-    listed = materialise(boilerplate(docs, host, ratio, min_pages), "boilerplate").select(F.col("host").alias(of), F.col("bad").alias(bad))
+    listed = materialise(boilerplate(docs, host, ratio, min_pages, once), "boilerplate").select(F.col("host").alias(of), F.col("bad").alias(bad))
     rows = docs.join(listed, docs[host].cast("string").eqNullSafe(F.col(of)), "left").drop(of)
     text = F.col("text").cast("string")
     rows = rows.withColumn(lines, F.split(text, "\n", -1))

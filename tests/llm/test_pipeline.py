@@ -94,3 +94,14 @@ def test_near_duplicates_are_those_of_similar_shingle_sets(spark, monkeypatch, s
     out = corpus_pipeline.simhash_neardup(spark, spark.createDataFrame(rows, "doc_id long, text string, other string"), "")
     assert wide and out.columns == ["doc_id", "text", "other"]
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in out.collect()) == [-1, *sorted(set(label))]
+
+
+def test_large_groups_of_copies_leave_one_whole_document_each(spark):
+    rng = random.Random(5)
+    body = ["\n".join(" ".join(rng.choice(WORDS) for _ in range(12)) for _ in range(4)) for _ in range(102)]
+    rows = [(i, "Home | About\n" + body[i], "s") for i in range(100)]
+    rows += [(100 + i, "Home | About\n" + body[100] + "\n" * (i % 2), "s") for i in range(50)] + [(200 + i, body[101], "s") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    lines = corpus_pipeline.materialise(corpus_pipeline.line_dedup(spark, docs, ""), "lines")
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.simhash_neardup(spark, lines, "").collect()}
+    assert kept == {**{i: body[i] for i in range(101)}, 200: body[101]}
