@@ -6,9 +6,11 @@ weighted by how few of both are links against the share of links in the body.
 The node whose children have the largest sum of densities holds the content;
 the smallest density on its path from the body is the threshold that other
 parts beside this path have to reach. If the content lies in an article or
-main element, or in one of these below it, that element is the content.
+main element, that element and all such beside it that reach the threshold are
+the content; if such elements lie below it, the longest and all that reach it.
 Parts that mark-up declares as no content (menus, footers, adverts, comments
-and so on) count neither as characters nor as tags.
+and so on) count neither as characters nor as tags. A class or id declares it
+by a whole name (``cookie-notice``), not by a word in one (``has-sidebar``).
 
 Defined results: null and empty html give an empty text, as does a page
 without text; columns other than page_id, url and html are not read; each row
@@ -40,7 +42,10 @@ DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo di
 DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright dialog disqus footer form masthead menu modal nav navbar navigation newsletter notice notification pagination pager popup popover promo promoted promotion related respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that a name of no content may have besides.
+NEUTRAL = frozenset("area bar block bottom box container inner item items links list panel posts section site top unit wrapper".split())
 ARTICLE_NAMES = frozenset("article content entry post story".split())
+HEADER = frozenset(["header"])
 
 MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>))")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -49,6 +54,15 @@ NAME_PARTS = re.compile(r"[a-z]+")
 LEAST_LOG = 0.1
 
 
+def named(value: str, names: frozenset[str]) -> bool:
+    """Whether one of the names in a class or id consists of these words, at least one, and neutral ones."""
+    for name in value.split():
+        parts = NAME_PARTS.findall(name)
+        if not names.isdisjoint(parts) and all(p in names or p in NEUTRAL for p in parts):
+            return True
+    return False
+
+
 def declared_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element's name, role, class or id says that it is no content."""
     if tag in DROPPED or (tag == "header" and not in_article):
@@ -62,8 +76,7 @@ def declared_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "role" and not DROPPED_ROLES.isdisjoint(value.split()):
             return True
         if name in ("class", "id"):
-            parts = NAME_PARTS.findall(value)
-            if not DROPPED_NAMES.isdisjoint(parts) or ("header" in parts and not in_article and ARTICLE_NAMES.isdisjoint(parts)):
+            if named(value, DROPPED_NAMES) or (not in_article and named(value, HEADER) and ARTICLE_NAMES.isdisjoint(NAME_PARTS.findall(value))):
                 return True
     return False
 
@@ -201,13 +214,15 @@ class Page:
         path = [best]
         while path[-1] != body:
             path.append(self.parent[path[-1]])
-        around = [i for i in path if self.tag[i] in ("article", "main") and self.chars[i]]
+        threshold, on_path = min(density[i] for i in path), set(path)
+        articles = [i for i in range(body, self.last[body] + 1) if self.tag[i] in ("article", "main") and self.chars[i]]
+        around = [i for i in articles if i in on_path]
         if around:
-            return around[-1:]
-        below = [i for i in range(best, self.last[best] + 1) if self.tag[i] in ("article", "main") and self.chars[i]]
+            return [i for i in articles if i == around[0] or (i > self.last[around[0]] or i < around[0]) and density[i] >= threshold]
+        below = [i for i in articles if best <= i <= self.last[best]]
         if below:
-            return [max(below, key=lambda i: (self.chars[i], -i))]
-        threshold, on_path = min(density[i] for i in path), set(path)
+            longest = max(below, key=lambda i: (self.chars[i], -i))
+            return [i for i in below if i == longest or density[i] >= threshold]
         return sorted([best] + [i for i in range(body + 1, self.last[body] + 1) if self.parent[i] in on_path and self.parent[i] != best and i not in on_path and density[i] >= threshold])
 
     def text(self) -> str:

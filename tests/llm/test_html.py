@@ -42,3 +42,14 @@ def test_query_columns_nulls_and_repeats(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(map(str, out.collect())) == sorted(map(str, [(1, "u", TEXT, len(TEXT))] * 2 + [(2, None, "", 0), (None, "v", "", 0)])) or [tuple(r) for r in out.orderBy("page_id").collect()] == [(None, "v", "", 0), (1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (2, None, "", 0)]
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("wrap", ["<div id='content' class='has-sidebar'>{}</div>", "<div class='post no-ads'>{}</div>", "<div class='with-header'><article>{}</article></div>"])
+def test_words_in_a_name_leave_the_content(wrap):
+    assert html.main_text(AROUND % wrap.format(ARTICLE)) == TEXT
+
+
+def test_all_articles_of_the_densest_part():
+    first, second = ("".join(f"<p>{w} sentence {i} of a text that goes on for a while, as prose does.</p>" for i in range(5)) for w in ("One", "Two"))
+    got = html.main_text(f"<body><div><article>{first}</article><article>{second}<p>End.</article></div></body>")
+    assert "One sentence 0" in got and "Two sentence 4" in got and got.endswith("End.")
