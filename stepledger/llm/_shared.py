@@ -1,4 +1,4 @@
-"""What the operators share: tables, scratch space and batch sizes."""
+"""What the operators share: tables, scratch space and batches."""
 
 from __future__ import annotations
 
@@ -6,12 +6,17 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows and bytes of one Arrow batch that goes to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 512, 32 << 20
+#: Rows that a Python worker turns into objects at once; the session bounds the bytes of what reaches it.
+SLICE_ROWS = 512
+
+#: Written folders that nobody has discarded yet, by the session that wrote them.
+_WRITTEN: dict[SparkSession, list[str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once, however long the texts are."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most so many rows, whatever the session sends."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def hash_share(column: Column, wanted: int, of: int) -> Column:
@@ -34,11 +40,15 @@ def hash_share(column: Column, wanted: int, of: int) -> Column:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the cluster shares.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is
-    unset, as in local tests, a temporary folder is made and set for the run.
+    The folder is the session's ``spark.checkpoint.dir``. Only in local mode,
+    where all run on one machine, may it be unset: a temporary folder is made
+    then. Elsewhere executors would write to disks of their own, so it raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="stepledger-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
@@ -47,6 +57,37 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends there."""
-    path = scratch(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    keep_track(spark, path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def keep_track(spark: SparkSession, path: str) -> None:
+    """Remember a written folder, so that release() finds it."""
+    _WRITTEN.setdefault(spark, []).append(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete what materialise() wrote for frames that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_written_to", None)
+        if path and path in _WRITTEN.get(df.sparkSession, ()):
+            _WRITTEN[df.sparkSession].remove(path)
+            _remove(df.sparkSession, path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all intermediate folders of a session, once its results are written; how many there were."""
+    paths = _WRITTEN.pop(spark, [])
+    for path in paths:
+        _remove(spark, path)
+    return len(paths)

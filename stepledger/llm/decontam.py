@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import small_batches
+from stepledger.llm._shared import slices
 
 RATE, MIN_CHARS = 0.08, 32
 #: Characters of the items that one automaton holds, about.
@@ -140,7 +140,6 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
 
 def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for each document and each item that it contains."""
-    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     names = [x.split()[0] for x in MATCHES.split(", ")]
@@ -148,7 +147,7 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: i
     def scan(items):
         def run(batches):
             matcher = Matcher(items, rate, min_chars)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for m in matcher.matches(t)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -164,13 +163,12 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: i
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def keep(items):
         def run(batches):
             matcher = Matcher(items, rate, min_chars)
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not matcher.matches(t) for t in batch.column(at).to_pylist()], pa.bool_()))
 
         return run

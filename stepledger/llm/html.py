@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import small_batches
+from stepledger.llm._shared import slices
 
 # Fixed values of HTML: element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -246,10 +246,9 @@ def main_text(html: str | None) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    small_batches(pages.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import materialise, small_batches
+from stepledger.llm._shared import materialise, slices
 
 #: Characters and rows of a chunk at most, a longer text being one of its own.
 CHUNK_CHARS, CHUNK_ROWS = 16 << 20, 8192
@@ -72,7 +72,6 @@ def unpack_ids(raw: bytes, n: int) -> np.ndarray:
 
 def chunks(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: the words of a chunk with their training counts, and its documents as indices of these."""
-    small_batches(docs.sparkSession)
 
     def close(rows):
         chunk = int.from_bytes(os.urandom(8), "big") >> 1
@@ -95,7 +94,7 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         rows, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 rows.append(row)
                 size += len(row[2] or "")
@@ -254,8 +253,6 @@ def score(docs: DataFrame, path: str) -> DataFrame:
                 whole = np.log(np.maximum(c - cut_off, 0) / max(tokens, 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.logaddexp(whole, spelled) / math.log(10))], names=["word", "c", "log"])
 
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(1 << 16))
     weighed = counted.select("word", "c").mapInArrow(weigh, "word string, c long, log double")
     listed = words.select("chunk", "idx", "word").join(weighed, "word").select(F.col("chunk").alias("of"), "idx", "c", "log")
 

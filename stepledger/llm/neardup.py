@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import hash_share, materialise, small_batches
+from stepledger.llm._shared import hash_share, materialise, slices
 
 BITS, DISTANCE, SHINGLE = 64, 3, 3
 #: Words of a pipeline's shingles, least similarity of their sets (a fraction), and bits in which linked ones may differ.
@@ -72,10 +72,9 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of every document."""
-    small_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
@@ -288,22 +287,19 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(docs: DataFrame, whole: bool = False, late: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """doc_id, key of the set, fingerprint, size n and shingles of every document: all or the leading ones."""
-    small_batches(docs.sparkSession)
     late = late or (np.empty(0, np.uint64), np.empty(0, np.int64))
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                sets = [shingles(t) for t in part.column(1).to_pylist()]
-                n = [len(s) for s in sets]
-                keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
-                marks = np.array([set_fingerprint(s) for s in sets], dtype=np.uint64)
-                held = sets if whole else [leading(s, *late) for s in sets]
-                offsets = np.cumsum([0, *map(len, held)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(held).view(np.int64)))
-                columns = [part.column(0), pa.array(keys.view(np.int64)), pa.array(marks.view(np.int64)), pa.array(n, pa.int64()), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "fp", "n", "held"])
+        for part in slices(batches, 64):
+            sets = [shingles(t) for t in part.column(1).to_pylist()]
+            n = [len(s) for s in sets]
+            keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
+            marks = np.array([set_fingerprint(s) for s in sets], dtype=np.uint64)
+            held = sets if whole else [leading(s, *late) for s in sets]
+            offsets = np.cumsum([0, *map(len, held)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(held).view(np.int64)))
+            columns = [part.column(0), pa.array(keys.view(np.int64)), pa.array(marks.view(np.int64)), pa.array(n, pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "fp", "n", "held"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, key long, fp long, n long, held array<long>")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import materialise, small_batches
+from stepledger.llm._shared import materialise, slices
 
 CAPACITY = 2048
 #: Pieces that one rank window holds together.
@@ -83,12 +83,11 @@ def pieces(docs: DataFrame, json_path: str, ranks_path: str | None = None, capac
 
     All pieces of a longer document but the first are full.
     """
-    small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
         encode = encoder(json_path, ranks_path)
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array(encode(text) + [0] if text else [0], dtype="<u4")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import hash_share, small_batches
+from stepledger.llm._shared import hash_share, slices
 
 BUCKETS, DIM, GRAMS = 1 << 14, 8, (3, 4)
 MAX_ROWS, EPOCHS, RATE, SEED = 2_000, 12, 0.5, 17
@@ -102,7 +102,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
     texts sends them to every executor and moves no text; a sampled text comes
     to the driver as at most ``BUCKETS`` numbers.
     """
-    small_batches(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
         .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -116,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
     wanted = picked[0].unionByName(picked[1])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [document_vector(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([i.tobytes() for i, _ in found], pa.binary()), pa.array([s.tobytes() for _, s in found], pa.binary())],
@@ -160,11 +159,10 @@ def scorer(weights: np.ndarray, bias: float):
 
 def score(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    small_batches(docs.sparkSession)
 
     def run(batches):
         of = scorer(weights, bias)
-        for batch in batches:
+        for batch in slices(batches):
             got = pa.array([of(t) for t in batch.column(2).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), got], names=["doc_id", "held_out", "score"])
 
@@ -175,12 +173,11 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float =
 
 def keep(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of documents that the model accepts, with all their columns."""
-    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(batches):
         of = scorer(weights, bias)
-        for batch in batches:
+        for batch in slices(batches):
             good = pa.array([of(t) >= threshold for t in batch.column(at).to_pylist()], pa.bool_())
             yield batch.filter(good)
 

@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import materialise, scratch, small_batches
+from stepledger.llm._shared import materialise, scratch, slices
 
 #: Payloads below this size are never revisits.
 MIN_BYTES = 1000
@@ -105,14 +105,13 @@ def open_folder(address: str) -> tuple[fs.FileSystem, str]:
 
 def write(marked: DataFrame, folder: str) -> DataFrame:
     """Write what roles() gives to archives in the folder; the index of all records, itself written."""
-    small_batches(marked.sparkSession)
 
     def run(batches):
         system, base = open_folder(folder)
         out = name = None
         at = 0
         try:
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for page_id, url, html, digest, refers_to in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                     if out is None or at >= FILE_BYTES:
@@ -155,7 +154,6 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
     A response's digest and length are those of the payload that was read; a
     digest that differs from the record's own raises an error.
     """
-    small_batches(index.sparkSession)
     schema = RECORDS + (", payload binary" if payloads else "")
 
     def take(found):
