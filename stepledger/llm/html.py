@@ -3,14 +3,20 @@
 A page is parsed into nodes with their characters, link characters, tags and
 link tags. The composite density of a node is its characters for each tag,
 weighted by how few of both are links against the share of links in the body.
-The node whose children have the largest sum of densities holds the content;
-the smallest density on its path from the body is the threshold that other
-parts beside this path have to reach. If the content lies in an article or
-main element, that element and all such beside it that reach the threshold are
-the content; if such elements lie below it, the longest and all that reach it.
+The node whose children have the largest sum of densities holds the content.
+What a block has directly, its text with bold or broken lines in it, is one
+child of it, so a paragraph never outweighs the blocks around it by its inline
+mark-up. The smallest density on the path from the body to this node is the
+threshold that other parts beside the path have to reach, blocks and what the
+nodes of the path have directly.
+
 Parts that mark-up declares as no content (menus, footers, adverts, comments
 and so on) count neither as characters nor as tags. A class or id declares it
 by a whole name (``cookie-notice``), not by a word in one (``has-sidebar``).
+Such a part stays out however much text it has: an article may be empty beside
+an advert. No element's name is taken for content.
+
+Parsing takes time in proportion to the page, whatever is left unclosed.
 
 Defined results: null and empty html give an empty text, as does a page
 without text; columns other than page_id, url and html are not read; each row
@@ -37,7 +43,7 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 SCOPE = frozenset("button caption html object table td template th".split())
 SIBLINGS = {"li": "li", "dd": "dd dt", "dt": "dd dt", "option": "option", "tr": "tr td th", "td": "td th", "th": "td th", "tbody": "tbody thead tfoot tr td th", "tfoot": "tbody thead tfoot tr td th"}
 LISTS = {"li": "ul ol menu", "dd": "dl", "dt": "dl", "option": "select datalist", "tr": "table", "td": "table", "th": "table", "tbody": "table", "tfoot": "table"}
-DROPPED = frozenset("aside audio button canvas datalist dialog embed footer form head iframe input math menu nav noembed noframes noscript object script search select style svg template textarea title video xmp".split())
+DROPPED = frozenset("aside audio button canvas datalist dialog embed footer form head iframe input menu nav noembed noframes noscript object script search select style svg template textarea title video xmp".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright dialog disqus footer form masthead menu modal nav navbar navigation newsletter notice notification pagination pager popup popover promo promoted promotion related respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
@@ -47,7 +53,9 @@ NEUTRAL = frozenset("area bar block bottom box container inner item items links
 ARTICLE_NAMES = frozenset("article content entry post story".split())
 HEADER = frozenset(["header"])
 
-MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>))")
+MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*+))")
+#: What a tag has up to its end or a quotation mark without a second one.
+INSIDE = re.compile(r"(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PARTS = re.compile(r"[a-z]+")
 #: The least logarithm of the density's base; a body without links would give 0.
@@ -87,9 +95,13 @@ class Page:
     def __init__(self, html: str):
         self.tag, self.parent, self.last = ["#"], [-1], [0]
         self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
+        #: The same for what a block has directly, inline elements included; the block of each node.
+        self.own: list[list[int]] = [[0, 0, 1, 0]]
+        self._block = [0]
         #: (node, text), or None where a block begins or ends
         self.events: list[tuple[int, str] | None] = []
-        self._stack, self._open = [0], {"#": 1}
+        #: Open elements, and by tag their places among these.
+        self._stack, self._open = [0], {"#": [0]}
         self._drop, self._link, self._article = [False], [False], [False]
         self._read(html)
         while self._stack:
@@ -100,50 +112,53 @@ class Page:
                 total[up] += total[i]
 
     def _read(self, html: str) -> None:
-        at, size = 0, len(html)
+        at, size, last = 0, len(html), html.rfind(">")
+        patience = 4 * size  # characters that may be read in vain for the ends of quotations
         while at < size:
             found = MARKUP.search(html, at)
-            if not found:
+            if not found or (found.end() > last and not found[1]):
                 self._text(html[at:])
                 return
             if found.start() > at:
                 self._text(html[at : found.start()])
-            comment, other, slash, name, rest = found.groups()
+            comment, other, slash, name = found.groups()
             if comment:
                 end = html.find("-->", found.end())
                 at = size if end < 0 else end + 3
-            elif other:
-                end = html.find(">", found.end())
-                at = size if end < 0 else end + 1
-            else:
-                tag, at = name.lower(), found.end()
-                if slash:
-                    self._end(tag)
-                    continue
-                self._start(tag, rest[:-1])
-                if tag in RAW:
-                    closing = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
-                    at = closing.end() if closing else size
-                    self._end(tag)
+                continue
+            end = found.end()
+            if html[end] != ">":
+                if not other and patience > 0:
+                    end = INSIDE.match(html, end).end()
+                if html[end : end + 1] != ">":
+                    patience -= 0 if other else size - found.end()
+                    end = html.find(">", found.end())
+            at = end + 1
+            if other:
+                continue
+            tag = name.lower()
+            if slash:
+                self._end(tag)
+                continue
+            self._start(tag, html[found.end() : end])
+            if tag in RAW:
+                closing = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
+                at = closing.end() if closing else size
+                self._end(tag)
 
     def _pop(self) -> None:
         node = self._stack.pop()
         self.last[node] = len(self.tag) - 1
-        self._open[self.tag[node]] -= 1
+        self._open[self.tag[node]].pop()
         if self.tag[node] in BLOCK:
             self.events.append(None)
 
     def _close(self, tags, barrier) -> None:
         """Close the innermost of these elements unless one of the barrier is further in."""
-        if any(self._open.get(t) for t in tags):
-            for k in range(len(self._stack) - 1, 0, -1):
-                tag = self.tag[self._stack[k]]
-                if tag in tags:
-                    while len(self._stack) > k:
-                        self._pop()
-                    return
-                if tag in barrier:
-                    return
+        k = max((self._open[t][-1] for t in tags if self._open.get(t)), default=0)
+        if k > max((self._open[t][-1] for t in barrier if self._open.get(t)), default=0):
+            while len(self._stack) > k:
+                self._pop()
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_P:
@@ -162,6 +177,12 @@ class Page:
         self.link_chars.append(0)
         self.tags.append(0 if drop else 1)
         self.link_tags.append(int(tag == "a" and not drop))
+        self.own.append([0, 0, 1, 0])
+        self._block.append(node if tag in BLOCK else self._block[up])
+        if tag not in BLOCK and not drop:
+            own = self.own[self._block[up]]
+            own[2] += 1
+            own[3] += tag == "a"
         self._drop.append(drop)
         self._link.append(link)
         self._article.append(self._article[up] or tag in ("article", "main"))
@@ -170,8 +191,8 @@ class Page:
         elif tag == "br":
             self.events.append((up, " "))
         if tag not in VOID:
+            self._open.setdefault(tag, []).append(len(self._stack))
             self._stack.append(node)
-            self._open[tag] = self._open.get(tag, 0) + 1
 
     def _end(self, tag: str) -> None:
         if self._open.get(tag):
@@ -186,55 +207,56 @@ class Page:
         text = unescape(raw) if "&" in raw else raw
         self.events.append((node, text))
         n = len(text.strip())
+        own = self.own[self._block[node]]
         self.chars[node] += n
+        own[0] += n
         if self._link[node]:
             self.link_chars[node] += n
+            own[1] += n
 
-    def density(self, node: int, body: int) -> float:
-        """The composite text density of a node."""
-        c = self.chars[node]
+    def density(self, counts: tuple[int, int, int, int], body: int) -> float:
+        """The composite text density of something with these characters, link characters, tags and link tags."""
+        c, links, t, link_t = counts
         if not c:
             return 0.0
-        links, t, link_t = self.link_chars[node], max(1, self.tags[node]), max(1, self.link_tags[node])
         base = log(log(c / max(1, c - links) * links + self.link_chars[body] / max(1, self.chars[body]) * c + e))
-        return c / t * log(max(e, c / max(1, links) * t / link_t)) / max(LEAST_LOG, base)
+        return c / max(1, t) * log(max(e, c / max(1, links) * max(1, t) / max(1, link_t))) / max(LEAST_LOG, base)
 
-    def content(self) -> list[int]:
-        """The nodes whose subtrees are the main text."""
+    def content(self) -> tuple[list[int], list[int]]:
+        """The nodes whose subtrees are the main text, and those of which only what they have directly is."""
+        if not self.chars[0]:
+            return [], []
         body = self.tag.index("body") if "body" in self.tag else 0
         if not self.chars[body]:
             body = 0
-        if not self.chars[0]:
-            return []
-        density = [self.density(i, body) for i in range(len(self.tag))]
-        sums = [0.0] * len(self.tag)
-        for i in range(body + 1, self.last[body] + 1):
-            sums[self.parent[i]] += density[i]
-        best = max(range(body, self.last[body] + 1), key=lambda i: (sums[i], -i))
+        inside = range(body, self.last[body] + 1)
+        density = {i: self.density((self.chars[i], self.link_chars[i], self.tags[i], self.link_tags[i]), body) for i in inside}
+        own = {i: self.density(tuple(self.own[i]), body) if self._block[i] == i else 0.0 for i in inside}
+        sums = dict(own)
+        for i in inside[1:]:
+            if self._block[i] == i:
+                sums[self.parent[i]] += density[i]
+        best = max(inside, key=lambda i: (sums[i], -i))
         path = [best]
         while path[-1] != body:
             path.append(self.parent[path[-1]])
         threshold, on_path = min(density[i] for i in path), set(path)
-        articles = [i for i in range(body, self.last[body] + 1) if self.tag[i] in ("article", "main") and self.chars[i]]
-        around = [i for i in articles if i in on_path]
-        if around:
-            return [i for i in articles if i == around[0] or (i > self.last[around[0]] or i < around[0]) and density[i] >= threshold]
-        below = [i for i in articles if best <= i <= self.last[best]]
-        if below:
-            longest = max(below, key=lambda i: (self.chars[i], -i))
-            return [i for i in below if i == longest or density[i] >= threshold]
-        return sorted([best] + [i for i in range(body + 1, self.last[body] + 1) if self.parent[i] in on_path and self.parent[i] != best and i not in on_path and density[i] >= threshold])
+        beside = [i for i in inside[1:] if i not in on_path and self._block[i] == i and self.parent[i] in on_path and self.parent[i] != best and density[i] >= threshold]
+        return [best, *beside], [i for i in path if i != best and own[i] >= threshold]
 
     def text(self) -> str:
         """The blocks of the content, one on each line."""
-        spans = [(i, self.last[i]) for i in self.content()]
+        kept, (whole, direct) = bytearray(len(self.tag)), self.content()
+        for i in whole:
+            kept[i : self.last[i] + 1] = b"\1" * (self.last[i] + 1 - i)
+        direct = set(direct)
         blocks, parts = [], []
         for event in [*self.events, None]:
             if event is None:
                 if parts and (block := " ".join("".join(parts).split())):
                     blocks.append(block)
                 parts = []
-            elif any(a <= event[0] <= b for a, b in spans):
+            elif kept[event[0]] or self._block[event[0]] in direct:
                 parts.append(event[1])
         return "\n".join(blocks)
 

@@ -53,3 +53,125 @@ def test_all_articles_of_the_densest_part():
     first, second = ("".join(f"<p>{w} sentence {i} of a text that goes on for a while, as prose does.</p>" for i in range(5)) for w in ("One", "Two"))
     got = html.main_text(f"<body><div><article>{first}</article><article>{second}<p>End.</article></div></body>")
     assert "One sentence 0" in got and "Two sentence 4" in got and got.endswith("End.")
+
+
+def tree(rng, depth=0):
+    """A random body: (tag, children), a child being a text or such a pair; blocks hold inline elements, but not the reverse."""
+    inline = ["a", "b", "i"]
+    out = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.random()
+        if (kind < 0.4 or depth > 3) and (not out or not isinstance(out[-1], str)):
+            out.append(" ".join(rng.choices("one two three seven long words stand here".split(), k=rng.randint(1, 12))) + " ")
+        elif kind < 0.6 or depth > 3:
+            out.append((rng.choice(inline), ["in line "]))
+        else:
+            out.append((rng.choice(["div", "section", "ul", "article"]), tree(rng, depth + 1)))
+    return out
+
+
+def brute(body):
+    """The text by the definition, recursively over the tree."""
+    import math
+
+    BLOCKS = ("body", "div", "section", "ul", "article")
+    nodes = []  # [tag, parent, counts, own counts, children as (text or node)]
+
+    def measure(tag, children, parent, link):
+        me = len(nodes)
+        nodes.append([tag, parent, [0, 0, 1, int(tag == "a")], [0, 0, 1, 0], []])
+        total, own = nodes[me][2], nodes[me][3]
+        for c in children:
+            if isinstance(c, str):
+                n = len(c.strip())
+                for counts in (total, own):
+                    counts[0] += n
+                    counts[1] += n * (link or tag == "a")
+                nodes[me][4].append(c)
+            else:
+                k = measure(c[0], c[1], me, link or tag == "a")
+                for i in range(4):
+                    total[i] += nodes[k][2][i]
+                if c[0] not in BLOCKS:
+                    for i in range(4):
+                        own[i] += nodes[k][2][i]
+                nodes[me][4].append(k)
+        return me
+
+    measure("body", body, None, False)
+    whole = nodes[0][2]
+
+    def density(counts):
+        c, links, t, link_t = counts
+        if not c:
+            return 0.0
+        base = math.log(math.log(c / max(1, c - links) * links + whole[1] / max(1, whole[0]) * c + math.e))
+        return c / t * math.log(max(math.e, c / max(1, links) * t / max(1, link_t))) / max(0.1, base)
+
+    d = [density(n[2]) for n in nodes]
+    sums = [density(n[3]) + sum(d[k] for k in n[4] if isinstance(k, int) and nodes[k][0] in BLOCKS) if n[0] in BLOCKS else 0.0 for n in nodes]
+    best = max(range(len(nodes)), key=lambda i: (round(sums[i], 6), -i))
+    path = {best}
+    up = best
+    while up:
+        up = nodes[up][1]
+        path.add(up)
+    least = min(d[i] for i in path)
+    kept = {best} | {k for i in path - {best} for k in nodes[i][4] if isinstance(k, int) and nodes[k][0] in BLOCKS and k not in path and d[k] >= least}
+    direct = {i for i in path - {best} if density(nodes[i][3]) >= least}
+    blocks, parts = [], []
+
+    def close():
+        if text := " ".join("".join(parts).split()):
+            blocks.append(text)
+        parts.clear()
+
+    def walk(k, inside, block=0):
+        inside, block = inside or k in kept, k if nodes[k][0] in BLOCKS else block
+        if nodes[k][0] in BLOCKS:
+            close()
+        for c in nodes[k][4]:
+            if isinstance(c, int):
+                walk(c, inside, block)
+            elif inside or block in direct:
+                parts.append(c)
+        if nodes[k][0] in BLOCKS:
+            close()
+
+    walk(0, False)
+    return "\n".join(blocks)
+
+
+def test_densities_decide_as_by_the_definition():
+    import random
+
+    def render(children):
+        return "".join(c if isinstance(c, str) else f"<{c[0]}>{render(c[1])}</{c[0]}>" for c in children)
+
+    rng = random.Random(4)
+    cut = 0
+    for _ in range(400):
+        body = tree(rng)
+        want = brute(body)
+        assert html.main_text(f"<body>{render(body)}</body>") == want, body
+        cut += len(want.split()) < len(html.re.sub("<[^>]*>", " ", render(body)).split())
+    assert cut > 100
+
+
+def test_names_of_elements_choose_nothing():
+    """An article element of links beside plain blocks of prose is no content."""
+    links = "".join(f'<div><a href="/{i}">entry {i}</a></div>' for i in range(30))
+    prose = "".join(f"<div>Sentence {i} of a text that goes on for a while, as prose does, and ends.</div>" for i in range(8))
+    got = html.main_text(f"<body><article>{links}</article><div>{prose}</div></body>")
+    assert got.startswith("Sentence 0") and "entry" not in got
+    for page in ('<p class="comment-on-law">One two three four.</p>', '<section id="social-policy"><p>One two three four.</p></section>', '<ul class="menu-of-the-day"><li>One two three four.</ul>', "<p>One two three <math><mi>four</mi></math>.</p>"):
+        assert html.main_text(f"<body>{page}</body>") == "One two three four."
+
+
+def test_unclosed_mark_up_takes_linear_time():
+    import time
+
+    for page in ("<a" * 2_500_000, "<a " * 1_500_000 + "x", '<a ">' * 200_000, '<a "><a " ' * 200_000 + ">", "<a \"'>\"><b '\">" * 100_000, "<p><button>" + "<b>" * 100_000 + "<div>" * 100_000, "<li><ul>" * 50_000, "<!-" * 500_000, "<script>" * 300_000):
+        began = time.time()
+        html.main_text(page)
+        assert time.time() - began < 5
