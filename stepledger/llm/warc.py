@@ -24,11 +24,10 @@ import uuid
 import zlib
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import materialise, scratch, slices
+from stepledger.llm._shared import keep_track, materialise, open_folder, scratch, slices
 
 #: Payloads below this size are never revisits.
 MIN_BYTES = 1000
@@ -98,11 +97,6 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes, int]:
     return fields, payload, length
 
 
-def open_folder(address: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of an address or a local path."""
-    return fs.FileSystem.from_uri(address) if "://" in address or address.startswith("file:") else (fs.LocalFileSystem(), address)
-
-
 def write(marked: DataFrame, folder: str) -> DataFrame:
     """Write what roles() gives to archives in the folder; the index of all records, itself written."""
 
@@ -192,6 +186,7 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
 def round_trip(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Archive every page and read all records back; a revisit has size and digest of the response that it refers to."""
     folder = scratch(pages.sparkSession, "warc")
+    keep_track(pages.sparkSession, folder)
     back = materialise(read(write(roles(pages, min_bytes), folder), folder), "warc-read")
     whole = back.where("record_type = 'response'")
     targets = whole.groupBy(F.col("page_id").alias("target"), F.col("payload_digest").alias("target_digest")).agg(F.max("payload_bytes").alias("target_bytes"))
