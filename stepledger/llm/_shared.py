@@ -97,3 +97,14 @@ def release(spark: SparkSession) -> int:
 def open_folder(address: str) -> tuple[fs.FileSystem, str]:
     """File system and path of an address or a local path."""
     return fs.FileSystem.from_uri(address) if "://" in address or address.startswith("file:") else (fs.LocalFileSystem(), address)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, made longer until no column has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out

@@ -3,16 +3,19 @@
 For each host the pages that contain a line are divided by all its pages; a
 line above the boilerplate ratio goes from every page of that host. Lines are
 compared without surrounding spaces; blank lines are neither counted nor
-dropped. Counting moves a digest for each page and distinct line, added up
-before the shuffle. The lines that go are few: a host whose pages have l lines
-on average has fewer than l / ratio of them.
-
-Defined results: a null text stays null and counts as a page without lines; a
-null host is a host of its own; rows that repeat count as pages each; lines on
-fewer than ``min_pages`` pages stay, so small hosts lose nothing; an empty
-table gives an empty result; other columns stay as they are. With ``once``
-pages of a host that have equal lines (blank ones and surrounding spaces
-aside) count as one page, so the copies of a text are no boilerplate.
+dropped. Pages of a host with equal lines (blank ones and surrounding spaces
+aside) count as one page, in the line's count and in the host's total: copies
+of a text are no boilerplate, and a line has to stand on two different pages
+at least. There is no other floor: small hosts are held to the same ratio.
+
+Counting moves a digest for each page and distinct line, added up before the
+shuffle. The lines that go are few: a host whose pages have l lines on average
+has fewer than l / ratio of them, and a page is looked up in them by hash.
+
+Defined results: a null text stays null and counts as a page without lines, as
+does an empty one; a null host is a host of its own; rows that repeat count as
+one page; an empty table gives an empty result; other columns stay as they
+are; texts of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -20,55 +23,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import materialise
+from stepledger.llm._shared import materialise, unused
 
-RATIO, MIN_PAGES = 0.01, 8
+RATIO, MIN_PAGES = 0.05, 2
 
 
-def unused(df: DataFrame, *names: str) -> list[str]:
-    """These names, made longer until no column has them."""
-    taken, out = {c.lower() for c in df.columns}, []
-    for name in names:
-        while name in taken:
-            name += "_"
-        taken.add(name)
-        out.append(name)
-    return out
+def marks(lines: Column) -> Column:
+    """A digest of each line without surrounding spaces; null for blank ones."""
+    return F.transform(lines, lambda x: F.when(F.trim(x) != "", F.md5(F.trim(x))))
 
 
-def digest(line: Column) -> Column:
-    """16 bytes that stand for a line without surrounding spaces."""
-    return F.unhex(F.md5(F.trim(line)))
-
-
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO) -> DataFrame:
     """host and bad, the digests of its boilerplate lines."""
-    pages = docs.select(F.col(host).cast("string").alias("host"), F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1).alias("lines"))
-    marks = F.array_distinct(F.transform(F.filter("lines", lambda x: F.trim(x) != ""), digest))
-    if once:
-        page = F.md5(F.array_join(F.filter(F.transform("lines", F.trim), lambda x: x != ""), "\n"))
-        pages = materialise(pages.select("host", page.alias("page"), marks.alias("marks")).dropDuplicates(["host", "page"]), "pages")
-        marks = F.col("marks")
+    lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)
+    each = docs.select(F.col(host).cast("string").alias("host"), F.filter(marks(lines), lambda x: x.isNotNull()).alias("marks"))
+    page = F.unhex(F.md5(F.array_join("marks", "")))
+    pages = materialise(each.select("host", page.alias("page"), F.transform(F.array_distinct("marks"), F.unhex).alias("marks")).dropDuplicates(["host", "page"]), "pages")
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = pages.select("host", F.explode(marks).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    counts = pages.select("host", F.explode("marks").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
     counts = counts.withColumnRenamed("host", "of")
     found = counts.join(totals, counts["of"].eqNullSafe(totals["host"])).where(F.col("n") > ratio * F.col("pages"))
-    return found.groupBy("host").agg(F.collect_list("line").alias("bad"))
+    return found.groupBy("host").agg(F.collect_list(F.lower(F.hex("line"))).alias("bad"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, counted: bool = False, once: bool = False) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, counted: bool = False) -> DataFrame:
     """The rows with the other lines only; with n_lines and n_dropped if wanted.
 
     The written list of bad lines has a known size: the join broadcasts it
     where the session's threshold allows and shuffles by host otherwise.
     """
-    of, bad, lines, left = unused(docs, "of", "bad", "lines", "left")
-    listed = materialise(boilerplate(docs, host, ratio, min_pages, once), "boilerplate").select(F.col("host").alias(of), F.col("bad").alias(bad))
+    of, bad, lines, keys, hits, left = unused(docs, "of", "bad", "lines", "keys", "hits", "left")
+    listed = materialise(boilerplate(docs, host, ratio), "boilerplate").select(F.col("host").alias(of), F.col("bad").alias(bad))
     rows = docs.join(listed, docs[host].cast("string").eqNullSafe(F.col(of)), "left").drop(of)
     text = F.col("text").cast("string")
-    rows = rows.withColumn(lines, F.split(text, "\n", -1))
-    rows = rows.withColumn(left, F.when(F.col(bad).isNull(), F.col(lines)).otherwise(F.filter(lines, lambda x: ~F.array_contains(F.col(bad), digest(x)))))
-    clean = F.when(F.col(bad).isNull(), text).otherwise(F.array_join(left, "\n"))
+    rows = rows.withColumn(lines, F.split(text, "\n", -1)).withColumn(keys, F.when(F.col(bad).isNotNull(), marks(F.col(lines))))
+    # of a page's lines the bad ones, by hash, so that each line is held against few
+    rows = rows.withColumn(hits, F.array_intersect(keys, bad))
+    some = F.coalesce(F.size(hits) > 0, F.lit(False))
+    kept = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(F.col(hits), F.get(F.col(keys), i)), F.lit(False)))
+    rows = rows.withColumn(left, F.when(some, kept).otherwise(F.col(lines)))
+    clean = F.when(some, F.array_join(left, "\n")).otherwise(text)
     out = [clean.alias("text") if c == "text" else docs[c] for c in docs.columns]
     if counted:
         n = F.coalesce(F.size(lines), F.lit(0))
@@ -86,12 +80,16 @@ def by_site(docs: DataFrame) -> DataFrame:
 ORACLE_SQL = f"""
 WITH pages AS (
   SELECT row_number() OVER () AS rid, doc_id, source, string_split(text, chr(10)) AS lines FROM documents
+), keyed AS (
+  SELECT rid, source, coalesce(array_to_string(list_filter(list_transform(lines, lambda x: trim(x, ' ')), lambda x: x <> ''), chr(10)), '') AS page FROM pages
+), firsts AS (
+  SELECT min(rid) AS rid FROM keyed GROUP BY source, page
 ), totals AS (
-  SELECT source, count(*) AS pages FROM pages GROUP BY source
+  SELECT source, count(*) AS pages FROM pages JOIN firsts USING (rid) GROUP BY source
 ), cells AS (
   SELECT rid, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM pages
 ), counts AS (
-  SELECT source, trim(line, ' ') AS line, count(DISTINCT rid) AS n FROM cells WHERE trim(line, ' ') <> '' GROUP BY ALL
+  SELECT source, trim(line, ' ') AS line, count(DISTINCT rid) AS n FROM cells JOIN firsts USING (rid) WHERE trim(line, ' ') <> '' GROUP BY ALL
 ), bad AS (
   SELECT c.source, c.line
   FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
