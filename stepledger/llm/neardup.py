@@ -34,10 +34,10 @@ from itertools import accumulate, combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepledger.llm._shared import hash_share, materialise, slices
+from stepledger.llm._shared import discard, hash_share, materialise, slices, unused
 
 BITS, DISTANCE, SHINGLE = 64, 3, 3
 #: Words of a pipeline's shingles, least similarity of their sets (a fraction), and bits in which linked ones may differ.
@@ -48,6 +48,8 @@ SEEN_DOCS, SEEN_IN, FREQUENT = 8_000, 8, 50_000
 FANOUT, FRONTIER = 16, 1 << 20
 #: Fingerprints of one group, on average over a random table, and rows of one task.
 GROUP_ROWS, TASK_ROWS = 256, 1_000_000
+#: Fingerprints of one group at most; larger groups are dealt out by more bits.
+GROUP_MOST = 1 << 16
 #: Shingles hashed at once.
 CHUNK = 1 << 16
 
@@ -184,11 +186,51 @@ def group_edges(group: np.ndarray, codes: np.ndarray, distance: int = DISTANCE)
     return codes[child], codes[label[child]]
 
 
-def edges(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
-    """Forest edges u, v between fingerprints (signed) within the distance."""
+def finer(mask: int, distance: int = DISTANCE) -> list[int]:
+    """This mask with one of distance + 1 blocks of its free bits each: of two fingerprints that agree in it one of these blocks is equal."""
+    free = [i for i in range(BITS) if not mask >> i & 1]
+    cuts = [len(free) * k // (distance + 1) for k in range(distance + 2)]
+    return [mask | sum(1 << i for i in free[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def signed(mask: int) -> int:
+    return mask - 2**BITS if mask >= 2 ** (BITS - 1) else mask
+
+
+def dealt(distinct: DataFrame, n: int, distance: int = DISTANCE, most: int = GROUP_MOST) -> tuple[DataFrame, list[int]]:
+    """fp, i (its mask's place) and bits of every group that a fingerprint is in; the masks.
+
+    A group of more than ``most`` fingerprints is dealt out again by blocks of
+    its free bits, until groups are small or have too few free bits to be large.
+    """
     masks = block_masks(n, distance)
-    signed = [m - 2**BITS if m >= 2 ** (BITS - 1) else m for m in masks]
-    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)])
+    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for i, m in enumerate(masks)])
+    rows = distinct.select("fp", F.explode(keys).alias("k")).select("fp", "k.i", "k.bits")
+    done, new = [], range(len(masks))
+    while new := [i for i in new if 2 ** (BITS - masks[i].bit_count()) > most]:
+        large = rows.where(F.col("i").isin(list(new))).groupBy("i", "bits").agg(F.count("*").alias("size")).where(F.col("size") > most).select("i", "bits")
+        large = materialise(large, "large")
+        held = sorted(r["i"] for r in large.select("i").distinct().collect())
+        if not held:
+            discard(large)
+            break
+        done.append(rows.join(large, ["i", "bits"], "left_anti").select("fp", "i", "bits"))
+        steps = []
+        for i in held:
+            for m in finer(masks[i], distance):
+                steps.append((i, len(masks), m))
+                masks.append(m)
+        choice = F.filter(F.array(*[F.struct(F.lit(of).alias("of"), F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for of, i, m in steps]), lambda x: x["of"] == F.col("i"))
+        rows = rows.join(large, ["i", "bits"], "left_semi").select("fp", F.explode(choice).alias("k")).select("fp", "k.i", "k.bits")
+        new = [i for _, i, _ in steps]
+    for more in done:
+        rows = rows.unionByName(more)
+    return rows, masks
+
+
+def edges(distinct: DataFrame, n: int, distance: int = DISTANCE, most: int = GROUP_MOST) -> DataFrame:
+    """Forest edges u, v between fingerprints (signed) within the distance."""
+    rows, masks = dealt(distinct, n, distance, most)
     tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * len(masks) // TASK_ROWS)
 
     def run(batches):
@@ -206,8 +248,7 @@ def edges(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
         u, v = group_edges(group, codes, distance)
         yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
-    dealt = distinct.select("fp", F.explode(keys).alias("k")).select("fp", "k.i", "k.bits").repartition(tasks, "i", "bits")
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return rows.repartition(tasks, "i", "bits").mapInArrow(run, "u long, v long").distinct()
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -226,13 +267,17 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         hook = materialise(hook, name)
         while not hook.where("moved").isEmpty():
             onward = hook.select(F.col("root").alias("to"), F.col("to").alias("next"))
-            hook = materialise(hook.join(onward, "to", "left").select("root", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), name)
-        labels = materialise(labels.join(hook, labels["label"] == hook["root"], "left").select("node", F.coalesce("to", "label").alias("label")), name)
+            before, hook = hook, materialise(hook.join(onward, "to", "left").select("root", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), name)
+            discard(before)
+        before, labels = labels, materialise(labels.join(hook, labels["label"] == hook["root"], "left").select("node", F.coalesce("to", "label").alias("label")), name)
+        discard(before)
         ends = hook.select(F.col("root").alias("u"), F.col("to").alias("u_to"))
-        links = links.join(ends, "u", "left").select(F.coalesce("u_to", "u").alias("u"), "v")
+        old, links = links, links.join(ends, "u", "left").select(F.coalesce("u_to", "u").alias("u"), "v")
         ends = hook.select(F.col("root").alias("v"), F.col("to").alias("v_to"))
         links = links.join(ends, "v", "left").select("u", F.coalesce("v_to", "v").alias("v"))
         links = materialise(links.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), name)
+        discard(old, hook)
+    discard(links)
     return labels
 
 
@@ -285,8 +330,8 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found[order], (len(rows) - order).astype(np.int64)
 
 
-def shingle_sets(docs: DataFrame, whole: bool = False, late: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """doc_id, key of the set, fingerprint, size n and shingles of every document: all or the leading ones."""
+def shingle_sets(docs: DataFrame, whole: bool = False, late: tuple[np.ndarray, np.ndarray] | None = None, digest: str | None = None) -> DataFrame:
+    """doc_id, digest, key of the set, fingerprint, size n and shingles of every document: all or the leading ones."""
     late = late or (np.empty(0, np.uint64), np.empty(0, np.int64))
 
     def run(batches):
@@ -298,11 +343,11 @@ def shingle_sets(docs: DataFrame, whole: bool = False, late: tuple[np.ndarray, n
             held = sets if whole else [leading(s, *late) for s in sets]
             offsets = np.cumsum([0, *map(len, held)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(held).view(np.int64)))
-            columns = [part.column(0), pa.array(keys.view(np.int64)), pa.array(marks.view(np.int64)), pa.array(n, pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "fp", "n", "held"])
+            columns = [part.column(0), part.column(2), pa.array(keys.view(np.int64)), pa.array(marks.view(np.int64)), pa.array(n, pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "key", "fp", "n", "held"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, key long, fp long, n long, held array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(digest) if digest else F.lit(""))
+    return rows.mapInArrow(run, "doc_id long, digest string, key long, fp long, n long, held array<long>")
 
 
 def candidates(distinct: DataFrame) -> DataFrame:
@@ -342,13 +387,14 @@ def candidates(distinct: DataFrame) -> DataFrame:
     return found.agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n >= need").select("a", "b")
 
 
-def similar_edges(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+def similar_edges(docs: DataFrame, distinct: DataFrame, digest: str) -> DataFrame:
     """All pairs u, v of keys whose shingle sets are similar enough, compared whole."""
     pairs = materialise(candidates(distinct), "candidates")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    first = distinct.join(keys, "key", "left_semi").select(F.col("first").alias("doc_id")).distinct()
-    sets = shingle_sets(docs.select("doc_id", "text").join(first, "doc_id", "left_semi"), whole=True)
-    sets = materialise(sets.join(keys, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    first = distinct.join(keys, "key", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("of"))
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(digest).alias("of")).join(first, ["doc_id", "of"], "left_semi")
+    sets = shingle_sets(some, whole=True)
+    sets = materialise(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("held").alias("held")), "sets")
     left = sets.select(F.col("key").alias("a"), F.col("held").alias("s"))
     right = sets.select(F.col("key").alias("b"), F.col("held").alias("t"))
     both = F.size(F.array_intersect("s", "t"))
@@ -359,30 +405,22 @@ def similar_edges(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def keep_similar(docs: DataFrame) -> DataFrame:
     """Of each component of similar documents the one with the smallest doc_id, with all its columns.
 
-    Documents without words are one component. Rows that repeat a doc_id are
-    one document; a row without one stays and links no others.
+    Documents without words are one component. Rows that repeat a doc_id and
+    its text are one document, rows that repeat a doc_id with another text are
+    documents of their own; a row without doc_id stays and links no others.
     """
-    named = docs.where(F.col("doc_id").isNotNull())
-    marks = shingle_sets(named, late=frequent(named)).groupBy("key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("held").alias("held"))
-    distinct = materialise(marks, "distinct")
-    labels = components(similar_edges(named, distinct), "similar")
+    digest = unused(docs, "digest")[0]
+    rows = docs.withColumn(digest, F.coalesce(F.md5(F.col("text").cast("string")), F.lit("")))
+    named = rows.where(F.col("doc_id").isNotNull())
+    marks = shingle_sets(named, late=frequent(named), digest=digest)
+    firsts = F.min(F.struct("doc_id", "digest")).alias("first")
+    distinct = materialise(marks.groupBy("key").agg(firsts, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("held").alias("held")), "distinct")
+    labels = components(similar_edges(named, distinct, digest), "similar")
     of = distinct.join(labels, distinct["key"] == labels["node"], "left").select("first", F.coalesce("label", "key").alias("label"))
-    kept = of.groupBy("label").agg(F.min("first").alias("_kept")).select("_kept").distinct()
-    return rows_of(docs, kept)
-
-
-def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row for each doc_id that is kept, and all rows without one."""
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where(F.col("doc_id").isNull()))
-
-
-def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Of each component the document with the smallest doc_id, with all its columns.
-
-    Rows that repeat a doc_id are one document. A row without one stays: no
-    other row can stand for what cannot be named.
-    """
-    marked = near_duplicates(docs, distance)
-    kept = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    return rows_of(docs, kept)
+    kept = of.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept"), F.col("first.digest").alias("_digest"))
+    found = named.join(kept, (named["doc_id"].cast("long") == kept["_kept"]) & (named[digest] == kept["_digest"]), "left_semi")
+    # of rows with one doc_id and text the first by their other columns
+    order = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != "text"])))
+    place = unused(found, "place")[0]
+    single = found.withColumn(place, F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(order))).where(F.col(place) == 1).drop(place, digest)
+    return single.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -111,12 +111,44 @@ def test_near_duplicates_match_brute_force(docs):
     assert got == want
 
 
-def test_keep_one(docs):
-    kept = neardup.keep_one(docs)
-    assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    want = sorted({r["component_id"] for r in neardup.near_duplicates(docs).collect()})
-    assert ids.count(None) == 1 and sorted(i for i in ids if i is not None) == want
+@pytest.mark.parametrize("most", [1 << 16, 40])
+def test_hot_groups_are_dealt_out_and_lose_no_link(spark, most):
+    """Fingerprints within a few bits of each other, far more than a group may have."""
+    rng = random.Random(6)
+    centre = rng.getrandbits(64)
+    codes = {centre}
+    while len(codes) < 900:
+        code = centre
+        for bit in rng.sample(range(64), rng.randint(1, 9)):
+            code ^= 1 << bit
+        codes.add(code)
+    codes = sorted(codes)
+    frame = spark.createDataFrame([(c - 2**64 if c >= 2**63 else c,) for c in codes], "fp long")
+    rows, masks = neardup.dealt(frame, len(codes), most=most)
+    sizes = {}
+    for r in rows.collect():
+        assert (r["fp"] & neardup.signed(masks[r["i"]])) == r["bits"]
+        sizes[r["i"], r["bits"]] = sizes.get((r["i"], r["bits"]), 0) + 1
+    assert most > 40 or max(n for (i, _), n in sizes.items() if 64 - masks[i].bit_count() > 16) <= max(most, 200)
+    label = dict(zip(codes, plain_components(codes)))
+    want = {}
+    for c, k in label.items():
+        want.setdefault(k, set()).add(c)
+    found = {c: {c} for c in codes}
+    for r in neardup.edges(frame, len(codes), most=most).collect():
+        a, b = r["u"] % 2**64, r["v"] % 2**64
+        both = found[a] | found[b]
+        for c in both:
+            found[c] = both
+    assert {frozenset(x) for x in want.values()} == {frozenset(x) for x in found.values()}
+
+
+def test_texts_under_one_id_are_documents_of_their_own(spark):
+    rows = [(1, "one two three four five six seven", "b"), (1, "quite another text without any likeness to it", "c"), (1, "one two three four five six seven", "a"), (2, "one two three four five six seven", "d"), (None, "one two three four five six seven", "e")]
+    kept = neardup.keep_similar(spark.createDataFrame(rows, "doc_id long, text string, place string"))
+    got = sorted((str(r["doc_id"]), r["text"]) for r in kept.collect())
+    assert kept.columns == ["doc_id", "text", "place"]
+    assert got == [("1", rows[0][1]), ("1", rows[1][1]), ("None", rows[0][1])]
 
 
 def test_empty_table(spark):
