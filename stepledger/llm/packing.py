@@ -5,6 +5,10 @@ solved on their histogram, which has at most ``capacity`` rows however many
 documents there are. The solution is a list of patterns with multiplicities;
 a piece finds its place in it from its rank among the pieces of its size.
 
+The search is exact where it ends within its nodes, and without an end where
+none are named (``nodes=None``); ``solve`` tells the number of sequences, a
+lower bound and whether the optimum is proved.
+
 Defined results: a null text is an empty one and gives a single piece of one
 token; rows that repeat a doc_id are packed each on its own; an empty table
 gives an empty result; columns other than doc_id and text are not read.
@@ -26,8 +30,8 @@ from stepledger.llm._shared import materialise, slices
 CAPACITY = 2048
 #: Pieces that one rank window holds together.
 RANK_ROWS = 4_000
-#: Search nodes for one completion, and for the whole search, about two seconds.
-FILL_NODES, SEARCH_NODES = 500, 1_000_000
+#: Nodes of a whole search, some seconds, and states that it remembers.
+SEARCH_NODES, SEEN_STATES = 500_000, 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ENCODERS: dict = {}
@@ -132,97 +136,127 @@ def least_bins(counts: dict[int, int], capacity: int) -> int:
         n[size], total[size] = count, size * count
     n, total = np.cumsum(n), np.cumsum(total)
     half = capacity // 2
-    best = -(-int(total[-1]) // capacity)
-    for a in range(half + 1):
-        alone, big = n[-1] - n[capacity - a], n[capacity - a] - n[half]
-        big_total = total[capacity - a] - total[half]
-        rest = total[half] - (total[a - 1] if a else 0)
-        best = max(best, int(alone + big + max(0, -(-(rest - (big * capacity - big_total)) // capacity))))
-    return best
+    a = np.arange(half + 1)
+    alone, big = n[-1] - n[capacity - a], n[capacity - a] - n[half]
+    big_total = total[capacity - a] - total[half]
+    rest = total[half] - np.where(a > 0, total[a - 1], 0)
+    spread = np.maximum(0, -(-(rest - (big * capacity - big_total)) // capacity))
+    return int(max(-(-int(total[-1]) // capacity), (alone + big + spread).max(initial=0)))
+
+
+class Budget:
+    """Search nodes that are left; without an end if none are named."""
+
+    def __init__(self, nodes: int | None):
+        self.left = nodes
+
+    def spend(self) -> bool:
+        """Take a node; whether there was one."""
+        if self.left is None:
+            return True
+        self.left -= 1
+        return self.left >= 0
 
 
-def completions(space: int, counts: dict[int, int], sizes: list[int], keep: int, budget: list[int]) -> list[tuple[int, dict[int, int]]]:
-    """Undominated fillings of a space, least waste first, at most ``keep``; takes what it searches off the budget.
+def completions(space: int, counts: dict[int, int], sizes: list[int], waste: int, budget: Budget) -> list[tuple[int, dict[int, int]]]:
+    """All undominated fillings of a space that waste no more, least waste first.
 
     ``sizes`` ascend. A filling is dominated where one unused document could
     replace a document of it, or be added, without exceeding the space; one
     document that fills the space exactly dominates all else.
     """
-    budget[0] -= 1
     if counts.get(space):
         return [(0, {space: 1})]
     found: list[tuple[int, dict[int, int]]] = []
-    nodes = FILL_NODES
     used: dict[int, int] = {}
-
-    def fill(left: int, top: int) -> bool:
-        nonlocal nodes
-        nodes -= 1
-        budget[0] -= 1
-        fits = False
-        for i in range(min(top, bisect_right(sizes, left)) - 1, -1, -1):
-            size = sizes[i]
-            if counts[size] <= used.get(size, 0):
-                continue
-            fits = True
+    # (space left, place of the next size to try, whether one has fitted); what is used goes along with the stack
+    stack: list[list[int]] = [[space, bisect_right(sizes, space), 0]]
+    chosen: list[int] = []
+    while stack:
+        left, at, fits = stack[-1]
+        at -= 1
+        while at >= 0 and counts[sizes[at]] <= used.get(sizes[at], 0):
+            at -= 1
+        stack[-1][1] = at
+        if at >= 0 and budget.spend():
+            size = sizes[at]
+            stack[-1][2] = 1
             used[size] = used.get(size, 0) + 1
-            done = fill(left - size, i + 1)
+            chosen.append(size)
+            stack.append([left - size, min(at + 1, bisect_right(sizes, left - size)), 0])
+            continue
+        if not fits and left <= waste:
+            for size in used:
+                i = bisect_right(sizes, size + left) - 1
+                while i >= 0 and sizes[i] > size and counts[sizes[i]] <= used.get(sizes[i], 0):
+                    i -= 1
+                if i >= 0 and sizes[i] > size:
+                    break
+            else:
+                found.append((left, dict(used)))
+        stack.pop()
+        if chosen:
+            size = chosen.pop()
             used[size] -= 1
             if not used[size]:
                 del used[size]
-            if done or nodes <= 0:
-                return done
-        if not fits:
-            for size in used:
-                i = bisect_right(sizes, size + left) - 1
-                if i >= 0 and sizes[i] > size and counts[sizes[i]] > used.get(sizes[i], 0):
-                    return False
-            found.append((left, dict(used)))
-            found.sort(key=lambda x: (x[0], -max(x[1], default=0)))
-            del found[keep:]
-            return left == 0 and len(found) >= keep
-        return False
+    found.sort(key=lambda x: (x[0], -max(x[1], default=0)))
+    return found
+
+
+class Packing:
+    """Fillings and their numbers, how many bins they are, the least that any solution has, and whether that was reached or proved."""
 
-    fill(space, len(sizes))
-    return found or [(space, {})]
+    def __init__(self, plan: list[tuple[dict[int, int], int]], bound: int, proved: bool):
+        self.plan, self.bound, self.proved = plan, bound, proved
+        self.bins = sum(n for _, n in plan)
 
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, branch: int = 3) -> list[tuple[dict[int, int], int]]:
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = SEARCH_NODES) -> Packing:
     """Fillings and their numbers that together hold every counted size once.
 
-    Best-fit decreasing gives the incumbent. Each step then takes the largest
-    size left, enumerates undominated completions and uses one for as many
-    bins as the counts allow; a branch ends where its waste exceeds what a
-    solution with one bin less than the incumbent could waste.
+    Best-fit decreasing gives the incumbent. Each step takes the largest size
+    left, enumerates its undominated completions and uses each of them for as
+    many bins as the counts allow, then for one bin only, so that every number
+    of uses is reached. A branch ends where its waste, or the lower bound of
+    what is left, allows no solution better than the incumbent, or where the
+    same sizes were left before after no more bins. The search is complete;
+    after ``nodes`` nodes (None: never) it gives up with the best found so far
+    and does not call it proved.
     """
     counts = {s: n for s, n in counts.items() if n}
     total = sum(s * n for s, n in counts.items())
-    best = best_fit(counts, capacity)
-    least = least_bins(counts, capacity)
-    budget = [SEARCH_NODES]
-    stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
-    while stack and budget[0] > 0:
+    best, least = best_fit(counts, capacity), least_bins(counts, capacity)
+    upper, budget = sum(n for _, n in best), Budget(nodes)
+    seen: dict[tuple, int] = {}
+    stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)] if upper > least else []
+    while stack and upper > least and budget.spend():
         left, plan, bins, waste = stack.pop()
-        upper = sum(n for _, n in best)
-        if upper <= least:
-            break
         if not left:
             if bins < upper:
-                best = plan
+                best, upper = plan, bins
             continue
-        if waste > (upper - 1) * capacity - total:
+        spare = (upper - 1) * capacity - total - waste
+        if spare < 0 or bins + least_bins(left, capacity) >= upper:
             continue
-        sizes = sorted(left)
-        top = sizes[-1]
+        state = tuple(sorted(left.items()))
+        if seen.get(state, bins + 1) <= bins:
+            continue
+        if len(seen) < SEEN_STATES:
+            seen[state] = bins
+        top = state[-1][0]
         rest = left | {top: left[top] - 1}
         options = []
-        for wasted, filling in completions(capacity - top, rest, sizes, branch, budget):
+        for wasted, filling in completions(capacity - top, rest, [s for s, _ in state], spare, budget):
             whole = filling | {top: filling.get(top, 0) + 1}
-            times = min(left[s] // c for s, c in whole.items())
-            after = {s: n for s in left if (n := left[s] - whole.get(s, 0) * times)}
-            options.append((after, [*plan, (whole, times)], bins + times, waste + wasted * times))
+            most = min(left[s] // c for s, c in whole.items())
+            for times in (most, 1) if most > 1 else (1,):
+                if wasted * times <= spare:
+                    after = {s: n for s in left if (n := left[s] - whole.get(s, 0) * times)}
+                    options.append((after, [*plan, (whole, times)], bins + times, waste + wasted * times))
         stack.extend(reversed(options))
-    return best
+    proved = upper <= least or not stack and budget.left is None or not stack and budget.left >= 0
+    return Packing(best, upper if proved else least, proved)
 
 
 def placement(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
@@ -249,16 +283,27 @@ def assign(places: dict[str, np.ndarray], size: np.ndarray, rank: np.ndarray) ->
     return places["base"][at] + turn, places["offset"][at] + slot * size
 
 
-def pack(docs: DataFrame, json_path: str, ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def solve(cut: DataFrame, capacity: int = CAPACITY, nodes: int | None = SEARCH_NODES) -> Packing:
+    """The packing of written pieces; its bins, bound and proof tell how good it is."""
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    return bin_completion(counts, capacity, nodes)
+
+
+def pack(docs: DataFrame, json_path: str, ranks_path: str | None = None, capacity: int = CAPACITY, nodes: int | None = SEARCH_NODES) -> DataFrame:
     """Every piece of every document with its sequence and its place there.
 
     Only the histogram of sizes, at most ``capacity`` rows, comes to the
     driver, and only the plan, as bounded, goes back.
     """
     cut = materialise(pieces(docs, json_path, ranks_path, capacity), "pieces")
-    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    places = placement(bin_completion(counts, capacity))
-    parts = max(1, sum(counts.values()) // RANK_ROWS)
+    return placed(cut, solve(cut, capacity, nodes).plan)
+
+
+def placed(cut: DataFrame, plan: list[tuple[dict[int, int], int]]) -> DataFrame:
+    """Written pieces with their places in a plan."""
+    places = placement(plan)
+    counts = cut.count()
+    parts = max(1, counts // RANK_ROWS)
     keyed = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
     before = (
         keyed.groupBy("part", "length")

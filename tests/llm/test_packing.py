@@ -47,12 +47,51 @@ def test_bin_completion_matches_exhaustive_search():
         capacity = rng.choice([10, 20, 31])
         sizes = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
         counts = {s: sizes.count(s) for s in sizes}
-        plan = packing.bin_completion(counts, capacity)
+        found = packing.bin_completion(counts, capacity)
+        plan = found.plan
+        assert found.proved and found.bins == found.bound == bins_of(plan)
         assert held(plan) == counts
         assert all(sum(s * c for s, c in f.items()) <= capacity for f, _ in plan)
         assert bins_of(plan) == optimum(sizes, capacity), (capacity, sizes)
 
 
+def test_search_beats_best_fit_at_the_production_capacity_and_proves_it():
+    rng = random.Random(0)
+    better = 0
+    for _ in range(25):
+        cuts = [sorted(rng.sample(range(300, 1750), 2)) for _ in range(4)]  # four full sequences in three pieces each
+        sizes = [n for a, b in cuts for n in (a, b - a, packing.CAPACITY - b)]
+        counts = {s: sizes.count(s) for s in sizes}
+        found = packing.bin_completion(counts, packing.CAPACITY, None)
+        best = 4
+        assert found.proved and found.bins == found.bound == best and held(found.plan) == counts
+        better += best < bins_of(packing.best_fit(counts, packing.CAPACITY))
+    assert better >= 2
+
+
+def test_sizes_that_are_used_fewer_times_than_they_could_be():
+    """The optimum needs a filling less often than the counts allow."""
+    rng = random.Random(3)
+    better = 0
+    for _ in range(150):
+        capacity = rng.choice([17, 23, 30])
+        sizes = [s for s in rng.sample(range(3, capacity // 2 + 2), 4) for _ in range(rng.randint(2, 3))][:10]
+        counts = {s: sizes.count(s) for s in sizes}
+        found = packing.bin_completion(counts, capacity, None)
+        assert found.proved and found.bins == optimum(sizes, capacity)
+        better += found.bins < bins_of(packing.best_fit(counts, capacity))
+    assert better
+
+
+def test_a_search_that_ends_early_says_so():
+    rng = random.Random(1)
+    sizes = [rng.randint(300, 1000) for _ in range(300)]
+    counts = {s: sizes.count(s) for s in sizes}
+    short, longer = (packing.bin_completion(counts, packing.CAPACITY, n) for n in (0, 200_000))
+    assert not short.proved and short.bins == bins_of(packing.best_fit(counts, packing.CAPACITY)) > short.bound
+    assert longer.bins < short.bins and held(longer.plan) == counts and longer.bound <= longer.bins
+
+
 def test_best_fit_holds_everything():
     counts = {7: 5, 3: 11, 2: 1, 10: 4, 1: 3}
     plan = packing.best_fit(counts, 10)
