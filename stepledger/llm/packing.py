@@ -31,7 +31,9 @@ CAPACITY = 2048
 #: Pieces that one rank window holds together.
 RANK_ROWS = 4_000
 #: Nodes of a whole search, some seconds, and states that it remembers.
-SEARCH_NODES, SEEN_STATES = 500_000, 200_000
+SEARCH_NODES, SEEN_STATES = 1_000_000, 200_000
+#: Completions that the first round takes of a size, and nodes to find them in.
+FEW, FEW_NODES = 3, 500
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ENCODERS: dict = {}
@@ -158,8 +160,8 @@ class Budget:
         return self.left >= 0
 
 
-def completions(space: int, counts: dict[int, int], sizes: list[int], waste: int, budget: Budget) -> list[tuple[int, dict[int, int]]]:
-    """All undominated fillings of a space that waste no more, least waste first.
+def completions(space: int, counts: dict[int, int], sizes: list[int], waste: int, budget: Budget, few: int | None = None) -> list[tuple[int, dict[int, int]]]:
+    """All undominated fillings of a space that waste no more, or the best of the first that are met, least waste first.
 
     ``sizes`` ascend. A filling is dominated where one unused document could
     replace a document of it, or be added, without exceeding the space; one
@@ -171,6 +173,7 @@ def completions(space: int, counts: dict[int, int], sizes: list[int], waste: int
     used: dict[int, int] = {}
     # (space left, place of the next size to try, whether one has fitted); what is used goes along with the stack
     stack: list[list[int]] = [[space, bisect_right(sizes, space), 0]]
+    tries = FEW_NODES if few else None
     chosen: list[int] = []
     while stack:
         left, at, fits = stack[-1]
@@ -178,7 +181,9 @@ def completions(space: int, counts: dict[int, int], sizes: list[int], waste: int
         while at >= 0 and counts[sizes[at]] <= used.get(sizes[at], 0):
             at -= 1
         stack[-1][1] = at
-        if at >= 0 and budget.spend():
+        if tries is not None:
+            tries -= 1
+        if at >= 0 and (tries is None or tries > 0) and budget.spend():
             size = sizes[at]
             stack[-1][2] = 1
             used[size] = used.get(size, 0) + 1
@@ -201,7 +206,7 @@ def completions(space: int, counts: dict[int, int], sizes: list[int], waste: int
             if not used[size]:
                 del used[size]
     found.sort(key=lambda x: (x[0], -max(x[1], default=0)))
-    return found
+    return found[:few] if few else found
 
 
 class Packing:
@@ -218,7 +223,8 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     Best-fit decreasing gives the incumbent. Each step takes the largest size
     left, enumerates its undominated completions and uses each of them for as
     many bins as the counts allow, then for one bin only, so that every number
-    of uses is reached. A branch ends where its waste, or the lower bound of
+    of uses is reached. A first round takes few completions of each size for a
+better incumbent, the second one all of them. A branch ends where its waste, or the lower bound of
     what is left, allows no solution better than the incumbent, or where the
     same sizes were left before after no more bins. The search is complete;
     after ``nodes`` nodes (None: never) it gives up with the best found so far
@@ -227,35 +233,37 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     counts = {s: n for s, n in counts.items() if n}
     total = sum(s * n for s, n in counts.items())
     best, least = best_fit(counts, capacity), least_bins(counts, capacity)
-    upper, budget = sum(n for _, n in best), Budget(nodes)
-    seen: dict[tuple, int] = {}
-    stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)] if upper > least else []
-    while stack and upper > least and budget.spend():
-        left, plan, bins, waste = stack.pop()
-        if not left:
-            if bins < upper:
-                best, upper = plan, bins
-            continue
-        spare = (upper - 1) * capacity - total - waste
-        if spare < 0 or bins + least_bins(left, capacity) >= upper:
-            continue
-        state = tuple(sorted(left.items()))
-        if seen.get(state, bins + 1) <= bins:
-            continue
-        if len(seen) < SEEN_STATES:
-            seen[state] = bins
-        top = state[-1][0]
-        rest = left | {top: left[top] - 1}
-        options = []
-        for wasted, filling in completions(capacity - top, rest, [s for s, _ in state], spare, budget):
-            whole = filling | {top: filling.get(top, 0) + 1}
-            most = min(left[s] // c for s, c in whole.items())
-            for times in (most, 1) if most > 1 else (1,):
-                if wasted * times <= spare:
-                    after = {s: n for s in left if (n := left[s] - whole.get(s, 0) * times)}
-                    options.append((after, [*plan, (whole, times)], bins + times, waste + wasted * times))
-        stack.extend(reversed(options))
-    proved = upper <= least or not stack and budget.left is None or not stack and budget.left >= 0
+    upper, proved = sum(n for _, n in best), False
+    for few, share in ((FEW, 0.5), (None, 0.5)):
+        budget = Budget(None if nodes is None and not few else int((nodes or SEARCH_NODES) * share) if nodes != 0 else 0)
+        seen: dict[tuple, int] = {}
+        stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
+        while stack and upper > least and budget.spend():
+            left, plan, bins, waste = stack.pop()
+            if not left:
+                if bins < upper:
+                    best, upper = plan, bins
+                continue
+            spare = (upper - 1) * capacity - total - waste
+            if spare < 0 or bins + least_bins(left, capacity) >= upper:
+                continue
+            state = tuple(sorted(left.items()))
+            if seen.get(state, bins + 1) <= bins:
+                continue
+            if len(seen) < SEEN_STATES:
+                seen[state] = bins
+            top = state[-1][0]
+            rest = left | {top: left[top] - 1}
+            options = []
+            for wasted, filling in completions(capacity - top, rest, [s for s, _ in state], spare, budget, few):
+                whole = filling | {top: filling.get(top, 0) + 1}
+                most = min(left[s] // c for s, c in whole.items())
+                for times in (most, 1) if most > 1 else (1,):
+                    if wasted * times <= spare:
+                        after = {s: n for s in left if (n := left[s] - whole.get(s, 0) * times)}
+                        options.append((after, [*plan, (whole, times)], bins + times, waste + wasted * times))
+            stack.extend(reversed(options))
+        proved = upper <= least or (not few and not stack and budget.left is None) or (not few and not stack and budget.left >= 0)
     return Packing(best, upper if proved else least, proved)
 
 
