@@ -1,13 +1,15 @@
 """Language-model scores by a subword lattice.
 
-A text is a sequence of words, each closed by white space, and an end token.
-A word is one edge of its lattice where the training documents have it, with
-their discounted relative frequency as its weight; the discounted rest of the
-mass goes to all segmentations of the word into pieces of an existing
-subword vocabulary. Their unigram weights are the vocabulary's own
-segmentations counted over all distinct training words. Forward recursion in
-log space sums up the lattice, so a score is the marginal log10 probability of
-the text, not that of its best segmentation.
+A text is a sequence of pieces of an existing subword vocabulary and an end
+token; each word opens with the vocabulary's mark for white space. All
+segmentations of a text count: forward recursion in log space sums up the
+products of their pieces' weights, so a score is the marginal log10
+probability of the text, not that of its best segmentation.
+
+The vocabulary that is installed is a byte-pair one, whose scores are ranks
+and no probabilities. In their place the unigram weights are how often the
+vocabulary's own segmentation of the training documents uses a piece, every
+occurrence of a word counted, smoothed by a half.
 
 Pieces never cross white space, so the recursion runs once for each distinct
 word, not for each occurrence. Documents are dealt into chunks with a word
@@ -16,8 +18,8 @@ once for each chunk and not once for each document.
 
 Defined results: a null text is an empty one and has the end token only; rows
 with a null doc_id train the model; rows that repeat a doc_id count and are
-scored one by one; without any training row the lattice alone gives scores;
-extra columns are not read.
+scored one by one; without any training row all pieces weigh the same; texts
+of any length are scored whole; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -117,36 +119,43 @@ def processor(path: str):
 
 
 def piece_counts(words: DataFrame, path: str) -> np.ndarray:
-    """How often the vocabulary's own segmentations of distinct words use each piece."""
+    """How often the vocabulary's own segmentations use each piece in words that occur c times."""
 
     def run(batches):
         model = processor(path)
         total = np.zeros(model.get_piece_size(), dtype=np.int64)
         for batch in batches:
-            for ids in model.encode(batch.column(0).to_pylist(), num_threads=1):
-                np.add.at(total, ids, 1)
+            found = model.encode(batch.column(0).to_pylist(), num_threads=1)
+            times = np.repeat(batch.column(1).to_numpy(), [len(ids) for ids in found])
+            np.add.at(total, np.fromiter((i for ids in found for i in ids), dtype=np.int64, count=len(times)), times)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "n"])
 
-    rows = words.select("word").mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    rows = words.select("word", "c").mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(processor(path).get_piece_size())
     for r in rows:
         counts[r["piece"]] = r["n"]
     return counts
 
 
+def weights(path: str, counts: np.ndarray, ends: int) -> tuple[dict[int, float], float]:
+    """Logarithms of the weights of all pieces and of the end token, which add up to 1 as weights."""
+    model = processor(path)
+    real = [i for i in range(len(counts)) if not (model.is_control(i) or model.is_unknown(i))]
+    smooth = counts[real] + SMOOTH
+    total = smooth.sum() + ends + SMOOTH
+    return dict(zip(real, np.log(smooth / total), strict=True)), math.log((ends + SMOOTH) / total)
+
+
 class Lattice:
     """Marginal log probabilities of words under unigram weights of pieces."""
 
-    def __init__(self, path: str, counts: np.ndarray):
+    def __init__(self, path: str, counts: np.ndarray, ends: int):
         model = processor(path)
-        kinds = range(len(counts))
-        real = [i for i in kinds if not (model.is_control(i) or model.is_unknown(i))]
-        weights = counts[real] + SMOOTH
-        logs = dict(zip(real, np.log(weights / weights.sum()), strict=True))
+        logs, self.end = weights(path, counts, ends)
         self.bytes = np.full(256, -np.inf)
         self.pieces = {}
-        for i in real:
+        for i in logs:
             if model.is_byte(i):
                 self.bytes[int(model.id_to_piece(i)[3:5], 16)] = logs[i]
             else:
@@ -235,23 +244,17 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     texts = cut.where(F.col("n").isNotNull()).select("chunk", "doc_id", "held_out", "n", "ids")
     counted = materialise(words.groupBy("word").agg(F.sum("c").alias("c")), "words")
     known = counted.where("c > 0")
-    got = known.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
+    got = known.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     ends = texts.where(~F.col("held_out")).count()
     tokens, types = got["n"] + ends, got["v"] + (ends > 0)
-    cut_off = got["once"] / (got["once"] + 2 * got["twice"]) if got["once"] and got["twice"] else 0.5
-    rest = cut_off * types / tokens if tokens else 0.5
-    end_log = math.log10((ends - cut_off) / tokens if ends else rest)
     below = math.log10(tokens + 0.5 * (types + 1))
     pieces = piece_counts(known, path)
+    end_log = weights(path, pieces, ends)[1] / math.log(10)
 
     def weigh(batches):
-        lattice = Lattice(path, pieces)
+        lattice = Lattice(path, pieces, ends)
         for batch in batches:
-            c = batch.column(1).to_numpy()
-            spelled = lattice.log_probabilities(batch.column(0).to_pylist()) + math.log(rest)
-            with np.errstate(divide="ignore"):
-                whole = np.log(np.maximum(c - cut_off, 0) / max(tokens, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.logaddexp(whole, spelled) / math.log(10))], names=["word", "c", "log"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lattice.log_probabilities(batch.column(0).to_pylist()) / math.log(10))], names=["word", "c", "log"])
 
     weighed = counted.select("word", "c").mapInArrow(weigh, "word string, c long, log double")
     listed = words.select("chunk", "idx", "word").join(weighed, "word").select(F.col("chunk").alias("of"), "idx", "c", "log")

@@ -26,7 +26,7 @@ def segmentations(text, pieces, spelled):
 @pytest.fixture(scope="module")
 def model():
     counts = np.random.default_rng(1).integers(0, 50, 32000).astype(float)
-    return lattice.Lattice(PATH, counts)
+    return lattice.Lattice(PATH, counts, 20)
 
 
 def test_marginal_is_the_sum_over_all_segmentations(model):
@@ -78,16 +78,29 @@ def test_scores_match_the_definitions(spark, monkeypatch):
         base = sum(math.log10((c + 0.5) / (n + 0.5 * (v + 1))) for c in [*[counts[w] for w in ws], ends])
         want[(i, held, len(ws) + 1, sum(counts[w] > 0 for w in ws) + 1, n, round(base, 6))] += 1
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
-    once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
-    cut = once / (once + 2 * twice) if once and twice else 0.5
     pieces = np.zeros(32000)
-    for w in counts:
+    for w, c in counts.items():
         for p in lattice.processor(PATH).encode(w):
-            pieces[p] += 1
-    model = lattice.Lattice(PATH, pieces)
+            pieces[p] += c
+    model = lattice.Lattice(PATH, pieces, ends)
     for r, (i, ws, held) in zip(sorted(got, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["n_tokens"])), sorted(split, key=lambda x: (x[0] is None, x[0], len(x[1])))):
-        score = math.log10((ends - cut) / n) + sum(math.log10(max(counts[w] - cut, 0) / n + cut * v / n * math.exp(model.alone(w))) for w in ws)
-        assert r["score"] == pytest.approx(score, abs=1e-6)
+        assert r["score"] == pytest.approx((model.end + sum(model.alone(w) for w in ws)) / math.log(10), abs=1e-6)
+    # a whole text, all its segmentations one by one
+    whole = next(r for r in got if r["doc_id"] == 3 and r["n_tokens"] == 3)
+    every = segmentations("▁the▁the", model.pieces, lambda ch: model.bytes[list(ch.encode())].sum())
+    assert whole["score"] == pytest.approx(math.log10(sum(every)) + model.end / math.log(10), abs=1e-9) and len(every) > 50
+
+
+def test_weights_are_a_distribution():
+    logs, end = lattice.weights(PATH, np.random.default_rng(2).integers(0, 9, 32000).astype(float), 7)
+    assert sum(map(math.exp, logs.values())) + math.exp(end) == pytest.approx(1)
+
+
+def test_long_texts_and_words_are_scored_whole(spark):
+    docs = spark.createDataFrame([(2, "word " * 300_000), (3, "x" * 200_000), (4, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lattice.score(docs, PATH).collect()}
+    assert got[2]["n_tokens"] == 300_001 and got[3]["n_tokens"] == 2 and got[4]["n_tokens"] == 1
+    assert got[2]["score"] < -300_000 * 0.01 and got[3]["score"] < -200_000 * 0.01 and math.isfinite(got[3]["score"])
 
 
 def test_without_training_rows(spark):
