@@ -46,7 +46,11 @@ def let(value: Column, body) -> Column:
 def stateless(outputs: Column, domain: Domain = DEFAULT) -> Column:
     """For each output of an array what can be said without its state."""
     calls = F.transform(outputs, call_text)
-    pairs = F.arrays_zip(outputs.alias("output"), calls.alias("text"), read_calls(calls).alias("read"))
+    other = {m: s for m, s in domain.params.items() if not S.is_native(s)}
+    parts = [outputs.alias("output"), calls.alias("text"), read_calls(calls).alias("read")]
+    if other:  # schemas beyond native columns run in the validator, for all steps in one call
+        parts.append(S.validate_params(calls, other, domain.defs).alias("checked"))
+    pairs = F.arrays_zip(*parts)
     by_method = F.create_map(*[x for m in domain.methods for x in (F.lit(m), strings(domain.triggers.get(m, ())))])
 
     def one(p: Column) -> Column:
@@ -54,9 +58,8 @@ def stateless(outputs: Column, domain: Domain = DEFAULT) -> Column:
         method = read["method"]
         good = F.lit(False)
         for m, s in domain.params.items():
-            if not S.is_native(s):
-                raise S.SchemaError(f"parameters of {m} need a schema that native() can express")
-            good = F.when(method == m, S.native(s, read["facts"])).otherwise(good)
+            fits = F.coalesce(p["checked"], F.lit(False)) if m in other else S.native(s, read["facts"])
+            good = F.when(method == m, fits).otherwise(good)
         problem = (
             F.when(output.isNull() | text.isNull(), "no_think")
             .when(~read["ok"], "bad_json")
@@ -104,7 +107,7 @@ def judge(step: Column, state: Column, expected_trigger: Column, expected_after:
             wanted = F.filter(x["open"], lambda t: arc(arcs, g["state"], t) == g["after"])
             first = F.coalesce(F.when(F.nullif(g["after"], F.lit("")).isNotNull(), F.get(wanted, 0)), F.get(x["open"], 0))
             to = F.when(g["claimed"].isNull(), arc(arcs, g["state"], first)).otherwise(to)
-        return let(F.struct(g.alias("g"), (F.size(x["open"]) > 0).alias("has_arc"), to.alias("to")), with_marks)
+        return let(F.struct(g.alias("g"), x["open"].alias("open"), to.alias("to")), with_marks)
 
     def with_marks(x: Column) -> Column:
         g = x["g"]
@@ -115,7 +118,8 @@ def judge(step: Column, state: Column, expected_trigger: Column, expected_after:
             g.alias("g"),
             known.alias("known"),
             F.coalesce(known & g["step"]["schema_ok"], F.lit(False)).alias("schema"),
-            (known & (query | F.coalesce(x["has_arc"], F.lit(False)))).alias("can"),
+            (known & (query | F.coalesce(F.size(x["open"]) > 0, F.lit(False)))).alias("can"),
+            x["open"].alias("open"),
             (known & (query | fits)).alias("moved"),
             F.when(known, F.when(query, g["state"]).when(fits, x["to"])).alias("new_state"),
         )
@@ -142,6 +146,8 @@ def judge(step: Column, state: Column, expected_trigger: Column, expected_after:
             .when(error == "unknown_method", F.concat(F.lit("unknown method: "), F.coalesce(step["method"], F.lit("not a string"))))
             .when(error == "no_prior_state", F.lit("the context has no 'prior_state'"))
             .when(error == "schema", F.concat(F.lit("parameters of "), step["method"], F.lit(" break their schema")))
+            .when((error == "transition") & F.lit(infer) & claimed.isNull() & (F.size(m["open"]) == 0), F.concat(F.lit("transition_valid=0: no trigger of "), step["method"], F.lit(" has an arc from "), state))
+            .when((error == "transition") & F.lit(infer) & claimed.isNull(), F.concat(F.lit("transition_valid=0: "), step["method"], F.lit(" from "), state, F.lit(" leads to "), F.array_join(F.transform(m["open"], lambda t: arc(arcs, state, t)), ", "), F.lit(" and not to "), after))
             .when(error == "transition", F.concat(F.lit("transition_valid=0: "), step["method"], F.lit(" from "), state, F.lit(" with trigger "), F.coalesce(claimed, F.lit("none")), F.lit(" and expected state "), F.coalesce(after, F.lit("any"))))
         )
 

@@ -89,14 +89,17 @@ def test_config_and_sweep(tmp_path):
     with pytest.raises(ValueError, match="extend each other"):
         documents.read_config(put(tmp_path / "c2.yaml", "extends: c1.yaml\n"))
     out = documents.sweep({"base": "b.yaml", "axes": {"lora.r": [8, 16], "seed": ["a b", 2]}})
-    assert [n for n, _ in out] == ["lora_r8-seeda_b", "lora_r8-seed2", "lora_r16-seeda_b", "lora_r16-seed2"]
+    assert [n for n, _ in out] == ["lora.r=8,seed=a%20b", "lora.r=8,seed=2", "lora.r=16,seed=a%20b", "lora.r=16,seed=2"]
     assert out[0][1] == {"extends": "b.yaml", "lora": {"r": 8}, "seed": "a b"}
     for flat in ({"a": 1, "a.b": 2}, {"a.b": 2, "a": 1}):
-        with pytest.raises(ValueError, match="collision"):
+        with pytest.raises(ValueError, match="both a value"):
             documents.nested(flat)
     for spec in ({}, {"base": "b"}, {"base": "b", "axes": []}):
         with pytest.raises(ValueError):
             documents.sweep(spec)
+    assert documents.merged({"a": {"b": 1, "c": {}}, "d": 2}, {"a": {"b": {"x": 1}, "c": {}}, "d": {}, "e": {}}) == {"a": {"b": {"x": 1}, "c": {}}, "d": {}, "e": {}}
+    assert documents.merged({"a": {"b": 1}}, {"a": {}}) == {"a": {"b": 1}} and documents.merged({"a": {"b": 1}}, {"a": None}) == {"a": None} and documents.merged({"a": 1}, {"a": {"b": {"c": 2}}}) == {"a": {"b": {"c": 2}}}
+    assert documents.unknown_keys({"a": {"b": 1, "c": 2}, "d": 3}, ["a.b", "e"]) == ["a.c", "d"]
     assert json.loads(documents.yaml_to_json("a: [1, yes, null]")) == {"a": [1, True, None]}
 
 
