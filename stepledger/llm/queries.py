@@ -72,4 +72,4 @@ QUERIES = {
     "op9_pii_boosting": op9_pii_boosting,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE_SQL: dict[str, str] = {"op5_line_frequency": linededup.ORACLE_SQL, "op8_histogram_topk": topk.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_warc_index": warc.ORACLE_SQL, "op5_line_frequency": linededup.ORACLE_SQL, "op8_histogram_topk": topk.ORACLE_SQL}

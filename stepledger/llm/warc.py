@@ -22,6 +22,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,6 +76,7 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
         "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>" if revisit else record_id(page_id, digest),
         "WARC-Date": DATE,
         "WARC-Target-URI": " ".join(url.split()),
+        "Page-Url": quote(url, safe=""),
         "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode(),
         "Content-Type": "application/http; msgtype=response",
         "Page-Id": "" if page_id is None else str(page_id),
@@ -160,7 +162,7 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
                 if hashlib.sha1(payload).hexdigest() != digest:
                     raise ValueError(f"record {fields['warc-record-id']} has another digest")
             page_id, refers = fields["page-id"], fields.get("refers-to-page-id")
-            rows.append((int(page_id) if page_id else None, fields["warc-target-uri"], length, digest, kind, int(refers) if refers else None, payload)[: 7 if payloads else 6])
+            rows.append((int(page_id) if page_id else None, unquote(fields["page-url"]), length, digest, kind, int(refers) if refers else None, payload)[: 7 if payloads else 6])
         types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()][: 7 if payloads else 6]
         names = [x.split()[0] for x in schema.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -193,3 +195,15 @@ def round_trip(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     again = back.where("record_type = 'revisit'").join(targets, (F.col("refers_to") == F.col("target")) & (F.col("payload_digest") == F.col("target_digest")), "left")
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
     return whole.select(names).unionByName(again.select("page_id", F.col("target_bytes").alias("payload_bytes"), F.col("target_digest").alias("payload_digest"), "record_type", "refers_to", "url"))
+
+
+ORACLE_SQL = f"""
+WITH rows AS (
+  SELECT page_id, coalesce(url, '') AS url, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages
+), shared AS (
+  SELECT digest, max(page_id) AS keeper FROM rows WHERE size >= {MIN_BYTES} GROUP BY digest
+), marked AS (
+  SELECT r.*, CASE WHEN s.keeper IS DISTINCT FROM r.page_id THEN s.keeper END AS refers_to FROM rows r LEFT JOIN shared s ON s.digest = r.digest
+)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url FROM marked
+"""
