@@ -74,12 +74,30 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOL
 
 
 def overlap_report(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of counts, sorted shared origins and the first examples.
+    """One row of counts, sorted shared origins and the first examples of equal content and of similar pairs.
 
-    Both sides have raw (the record's text), trajectory_id and situation.
+    Both sides have raw (the record's text), trajectory_id and situation. An
+    example of equal content is the smallest left id that has it.
     """
-    exact = exact_overlap(left.select(content_digest(F.col("raw")).alias("digest")), right.select(content_digest(F.col("raw")).alias("digest")))
+
+    def digests(rows: DataFrame) -> DataFrame:
+        return rows.select(content_digest(F.col("raw")).alias("digest"), "trajectory_id").where(F.col("digest").isNotNull())
+
+    shared = digests(left).groupBy("digest").agg(F.min("trajectory_id").alias("first")).join(digests(right).select("digest").distinct(), "digest", "left_semi")
+    exact = shared.agg(F.count("*").alias("exact_overlap"))
+    exact_examples = shared.orderBy("first").limit(EXAMPLES).agg(F.array_sort(F.collect_list("first")).alias("exact_examples"))
     pairs = similar_pairs(left, right, threshold, "trajectory_id", "situation")
     origins = shared_origins(left, right).agg(F.array_sort(F.collect_list("origin")).alias("shared_seed_ids"))
     examples = pairs.orderBy("left_id", "right_id").limit(EXAMPLES).agg(F.array_sort(F.collect_list(F.struct("left_id", "right_id"))).alias("examples"))
-    return exact.agg(F.count("*").alias("exact_overlap")).crossJoin(origins).crossJoin(pairs.agg(F.count("*").alias("similar_pairs"))).crossJoin(examples)
+    # one row each
+    return exact.crossJoin(exact_examples).crossJoin(origins).crossJoin(pairs.agg(F.count("*").alias("similar_pairs"))).crossJoin(examples)
+
+
+def audit_splits(rows: DataFrame, threshold: float = THRESHOLD, names: tuple[str, ...] = ("train", "dev", "test")) -> DataFrame:
+    """An overlap report for each two of the splits, which are one table with a column split."""
+    out = None
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            report = overlap_report(rows.where(F.col("split") == a), rows.where(F.col("split") == b), threshold).withColumn("pair", F.lit(f"{a}/{b}"))
+            out = report if out is None else out.unionByName(report)
+    return out

@@ -6,9 +6,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepledger import __version__
 from stepledger.domain import DEFAULT, Domain
 from stepledger.functions.jsontext import loads
-from stepledger.functions.text import render, without_fences
+from stepledger.functions.text import render, thought, without_fences
 from stepledger.operators.rejects import classify
 from stepledger.operators.score import places
 from stepledger.operators.verify import verify_records
@@ -80,7 +81,7 @@ def totals(judged: DataFrame, by: str = "split") -> DataFrame:
 def gate(completions: DataFrame, domain: Domain = DEFAULT, raw: str = "raw") -> DataFrame:
     """Completions with the record in each, its result and its verdict."""
     judged = verify_gold(completions.withColumn("value", without_fences(F.col(raw))), domain)
-    return judged.withColumn("verdict", classify(F.col("value"), F.col("record.ok"), F.col("record.shaped"), F.col("result.passed")))
+    return judged.withColumn("verdict", classify(F.col(raw), F.col("record.ok"), F.col("record.shaped"), F.col("result.passed")))
 
 
 def unique_ids(rows: DataFrame, key: str = "trajectory_id", order: str = "row_idx") -> DataFrame:
@@ -151,8 +152,82 @@ def step_samples(records: DataFrame, steps: str = "steps") -> DataFrame:
 def provenance(rows: DataFrame, prompt: Column, timestamp: str, **fields) -> DataFrame:
     """Rows with a provenance struct: given fields, the digest of the prompt and a time."""
     parts = [F.lit(v).alias(k) if not isinstance(v, Column) else v.alias(k) for k, v in fields.items()]
-    stamp = F.date_format(F.lit(timestamp).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return rows.withColumn("provenance", F.struct(*parts, F.sha2(prompt, 256).alias("system_prompt_sha256"), stamp.alias("expansion_timestamp_utc")))
+    return rows.withColumn("provenance", F.struct(*parts, F.sha2(prompt, 256).alias("system_prompt_sha256"), stamp(timestamp).alias("expansion_timestamp_utc")))
+
+
+def stamp(timestamp: str | None) -> Column:
+    """A time, or the time of the query, as text with microseconds."""
+    return F.date_format(F.lit(timestamp).cast("timestamp") if timestamp else F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+# The fields of a row's origin, in their order, with their types.
+TEACHER_FIELDS = {"teacher_provider": "string", "teacher_model": "string", "teacher_model_version": "string", "system_prompt_sha256": "string", "expansion_seed": "bigint", "expansion_temperature": "double", "response_format": "string", "grammar_path": "string", "expansion_timestamp_utc": "string", "engine_version": "string", "seed_trajectory_id": "string"}
+SEED_FIELDS = {k: t for k, t in TEACHER_FIELDS.items() if k not in ("response_format", "grammar_path")}
+
+
+def _origin(fields: dict[str, str], given: dict[str, object]) -> Column:
+    if unknown := sorted(set(given) - set(fields)):
+        raise ValueError(f"no such field of provenance: {unknown}")
+    return F.struct(*[(v if isinstance(v := given.get(k), Column) else F.lit(v)).cast(t).alias(k) for k, t in fields.items()])
+
+
+def teacher_provenance(prompt: Column, timestamp: str | None = None, **given) -> Column:
+    """The eleven fields of an expanded row; those that are not given are null."""
+    return _origin(TEACHER_FIELDS, {"system_prompt_sha256": F.sha2(prompt, 256), "expansion_timestamp_utc": stamp(timestamp), "engine_version": __version__, **given})
+
+
+def seed_provenance(timestamp: str | None = None, **given) -> Column:
+    """The nine fields of a seed that was written by hand."""
+    return _origin(SEED_FIELDS, {"teacher_provider": "hand_seed", "expansion_timestamp_utc": stamp(timestamp), "engine_version": __version__, **given})
+
+
+def accepted(rows: DataFrame, origin: Column, source: str = "teacher_expansion", order: str = "row_idx") -> DataFrame:
+    """Rows that the gate has accepted, with ids of their own, their source and their origin; other columns stay."""
+    return unique_ids(rows.withColumn("source", F.lit(source)).withColumn("provenance", origin), order=order)
+
+
+def existing_by_seed(done: DataFrame, seed: str = "provenance.seed_trajectory_id") -> DataFrame:
+    """How many rows of an interrupted run each seed has already."""
+    return done.groupBy(F.col(seed).alias("seed_id")).agg(F.count("*").alias("n"))
+
+
+def expansion_counts(judged: DataFrame, verdict: str = "verdict", split: str = "split") -> DataFrame:
+    """One row: accepted and rejected completions, and the accepted ones of each split."""
+    good = F.col(verdict) == "accept"
+    return judged.agg(F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"), *[F.count_if(good & (F.col(split) == s)).alias(s) for s in ("train", "dev", "test")])
+
+
+def same_in_all(rows: DataFrame, names: tuple[str, ...] = ("train", "dev", "test")) -> DataFrame:
+    """Every row in every split, for smoke runs."""
+    return rows.withColumn("split", F.explode(F.array(*map(F.lit, names))))
+
+
+# What the last message asks for: the thought first, the call then.
+ASKS = ("Write the thought only.", "Write the JSON-RPC request only.")
+
+
+def requests(samples: DataFrame, model: str, grammar: str, max_tokens: tuple[int, int] = (256, 256), temperature: float = 0.0) -> DataFrame:
+    """Samples with the JSON of their two requests, for the thought and for the call after it, and its digests.
+
+    The call's request holds the thought as the model's turn and is bound to a
+    grammar.
+    """
+    m = F.col("messages")
+    turn = "struct<role:string,content:string>"
+
+    def message(role: str, content: Column) -> Column:
+        return F.struct(F.lit(role).alias("role"), content.alias("content")).cast(turn)
+
+    def payload(messages: Column, tokens: int, *more: Column) -> Column:
+        return F.to_json(F.struct(F.lit(model).alias("model"), messages.alias("messages"), F.lit(tokens).alias("max_tokens"), F.lit(temperature).alias("temperature"), *more))
+
+    asked = [F.slice(m, 1, 2), F.array(message("user", F.lit(ASKS[0])))]
+    think = payload(F.concat(*[x.cast(f"array<{turn}>") for x in asked]), max_tokens[0])
+    thought_ = F.concat(F.lit("<think>"), thought(m[2]["content"]), F.lit("</think>"))
+    then = F.array(message("assistant", F.coalesce(thought_, F.lit(""))), message("user", F.lit(ASKS[1])))
+    call = payload(F.concat(F.slice(m, 1, 2).cast(f"array<{turn}>"), then), max_tokens[1], F.lit(grammar).alias("grammar"))
+    out = samples.withColumns({"think_request": think, "call_request": call})
+    return out.withColumns({"think_sha256": F.sha2("think_request", 256), "call_sha256": F.sha2("call_request", 256)})
 
 
 def remaining(rows: DataFrame, done: DataFrame, key: str = "trajectory_id") -> DataFrame:

@@ -38,5 +38,5 @@ def top(counts: DataFrame, n: int) -> DataFrame:
 
 
 def classify(raw: Column, ok: Column, shaped: Column, passed: Column) -> Column:
-    """What becomes of a completion: its reason of rejection, or accept."""
-    return F.when(~F.coalesce(ok, F.lit(False)), "json_decode").when(~F.coalesce(shaped, F.lit(False)), "malformed_structure").when(~F.coalesce(passed, F.lit(False)), "verifier_failed").otherwise("accept")
+    """What becomes of a completion: its reason of rejection, or accept. No text at all is the teacher's failure."""
+    return F.when(raw.isNull(), "teacher_error").when(~F.coalesce(ok, F.lit(False)), "json_decode").when(~F.coalesce(shaped, F.lit(False)), "malformed_structure").when(~F.coalesce(passed, F.lit(False)), "verifier_failed").otherwise("accept")

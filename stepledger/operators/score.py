@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepledger.domain import DEFAULT, Domain
 from stepledger.functions.text import without_thought
-from stepledger.operators.verify import first_failing
+from stepledger.operators.verify import first_failing, verify_records, verify_steps
 
 #: k of the score card of an empty run.
 DEFAULT_K = 8
@@ -126,3 +127,33 @@ def rolling_means(rows: DataFrame, columns: list[str], order: list[str], bins: C
     over = Window.partitionBy(*by, "_block").orderBy("_place").rowsBetween(-(window - 1), 0)
     out = placed.withColumn("_own", F.lit(True)).unionByName(back).withColumns({f"mean_{c}": F.avg(c).over(over) for c in columns})
     return out.where("_own").drop("_place", "_block", "_own")
+
+
+def saved_outputs(records: DataFrame, responses: DataFrame) -> DataFrame:
+    """Records with the outputs that saved responses give their steps, and how many files they lack.
+
+    ``responses`` has trajectory_id, step_idx, think and call. A step with a
+    missing file has no output and fails to parse. Records and responses meet
+    by step, so that a record's files may lie anywhere.
+    """
+    steps = records.select("trajectory_id", F.posexplode("steps").alias("step_idx", "step")).drop("step")
+    joined = steps.join(responses.select("trajectory_id", "step_idx", "think", "call"), ["trajectory_id", "step_idx"], "left")
+    output = F.concat(F.lit("<think>"), F.col("think"), F.lit("</think>"), F.col("call"))
+    missing = F.col("think").isNull().cast("int") + F.col("call").isNull().cast("int")
+    each = joined.select("trajectory_id", F.struct("step_idx", output.alias("output")).alias("o"), missing.alias("missing"))
+    held = each.groupBy("trajectory_id").agg(F.array_sort(F.collect_list("o")).alias("o"), F.sum("missing").alias("missing"))
+    outputs = F.transform("o", lambda x: x["output"])
+    return records.join(held.select("trajectory_id", outputs.alias("outputs"), "missing"), "trajectory_id", "left")
+
+
+def saved_scores(records: DataFrame, responses: DataFrame, domain: Domain = DEFAULT) -> DataFrame:
+    """Records graded by their saved responses, up to the first step that fails."""
+    return verify_records(saved_outputs(records, responses), domain, stop_at_failure=True)
+
+
+def saved_step(records: DataFrame, responses: DataFrame, step_idx: int, domain: Domain = DEFAULT) -> DataFrame:
+    """One step of each record, in the state that its context declares, graded by its saved pair of responses."""
+    steps = records.select("trajectory_id", F.get("steps", F.lit(step_idx)).alias("step")).where(F.col("step").isNotNull())
+    pair = responses.where(F.col("step_idx") == step_idx).select("trajectory_id", F.concat(F.lit("<think>"), F.col("think"), F.lit("</think>"), F.col("call")).alias("output"))
+    rows = steps.join(pair, "trajectory_id", "left").select("trajectory_id", "output", F.col("step.prior_state").alias("prior_state"), F.col("step.expected_trigger").alias("expected_trigger"), F.col("step.expected_state_after").alias("expected_state_after"))
+    return verify_steps(rows, domain)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from stepledger.domain import DEFAULT, SUBSCORES
 from stepledger.functions import jsontext, schema, text
 from stepledger.operators import audit, compare, curate, rejects, reward, score, verify
 from stepledger.plans import bridge as B
+from stepledger.sources import documents
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -202,16 +205,16 @@ def majority_vote(spark, sf_dir):
 
 
 RUNS = """runs AS (
-  SELECT 'arm' || CAST(d.doc_id % 3 AS VARCHAR) || '-seed' || CAST(CAST(floor(d.doc_id / 3) AS BIGINT) % 5 AS VARCHAR) AS run_name, count(*) AS n_examples,
+  SELECT 'arm' || CAST(d.doc_id % 3 AS VARCHAR) || '-seed' || CAST(CAST(floor(d.doc_id / 3) AS BIGINT) % (3 + d.doc_id % 3) AS VARCHAR) AS run_name, count(*) AS n_examples,
          avg(CAST(l.quality AS DOUBLE)) AS pass_at_1, avg(CAST(l.toxic AS DOUBLE)) AS pass_at_k, avg(CAST(l.quality * l.toxic AS DOUBLE)) AS pass_at_maj
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.doc_id % 15 <> 13 GROUP BY 1
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1
 )"""
 
 
 def runs(spark, sf_dir) -> DataFrame:
     d, q = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels")
-    arm = F.concat(F.lit("arm"), (F.col("doc_id") % 3).cast("string"), F.lit("-seed"), (F.floor(F.col("doc_id") / 3) % 5).cast("string"))
-    rows = d.join(q, "doc_id").where("doc_id % 15 <> 13").groupBy(arm.alias("run_name"))
+    arm = F.concat(F.lit("arm"), (F.col("doc_id") % 3).cast("string"), F.lit("-seed"), (F.floor(F.col("doc_id") / 3) % (3 + F.col("doc_id") % 3)).cast("string"))
+    rows = d.join(q, "doc_id").groupBy(arm.alias("run_name"))
     return rows.agg(F.count("*").alias("n_examples"), F.avg(F.col("quality").cast("double")).alias("pass_at_1"), F.avg(F.col("toxic").cast("double")).alias("pass_at_k"), F.avg((F.col("quality") * F.col("toxic")).cast("double")).alias("pass_at_maj"))
 
 
@@ -263,10 +266,10 @@ def overlap_exact(spark, sf_dir):
     return audit.exact_overlap(d.where("doc_id % 2 = 0"), d.where("doc_id % 2 = 1")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS origin FROM events WHERE event_id % 3 = 0 INTERSECT SELECT CAST(c_custkey AS VARCHAR) FROM customer")
+@query("SELECT CAST(user_id AS VARCHAR) AS origin FROM events INTERSECT SELECT CAST(c_custkey AS VARCHAR) FROM customer")
 def overlap_origins(spark, sf_dir):
     """Origins that two sides share."""
-    e = table(spark, sf_dir, "events").where("event_id % 3 = 0").select(F.col("user_id").cast("string").alias("trajectory_id"))
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("trajectory_id"))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("trajectory_id"))
     return audit.shared_origins(e, c)
 
@@ -400,11 +403,12 @@ def provenance(spark, sf_dir):
     return out.select("doc_id", "provenance.system_prompt_sha256", "provenance.expansion_timestamp_utc", "provenance.seed_trajectory_id")
 
 
-@query("SELECT r.r_name || '-' || n.n_name AS slug, r_regionkey, n_nationkey FROM region r, nation n")
+@query("SELECT 'region=' || url_encode(r.r_name) || ',nation.name=' || url_encode(n.n_name) AS slug, r_name AS region, n_name AS nation FROM region r, nation n")
 def sweep_grid(spark, sf_dir):
     """All choices of two axes, both of fixed size."""
-    r, n = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
-    return r.crossJoin(n).select(F.concat("r_name", F.lit("-"), "n_name").alias("slug"), "r_regionkey", "n_nationkey")
+    names = {k: [r[0] for r in table(spark, sf_dir, t).select(c).orderBy(c).collect()] for k, t, c in (("region", "region", "r_name"), ("nation.name", "nation", "n_name"))}
+    rows = [(slug, config["region"], config["nation"]["name"]) for slug, config in documents.sweep({"base": "base.yaml", "axes": names})]
+    return spark.createDataFrame(rows, "slug string, region string, nation string")
 
 
 @query("SELECT DISTINCT lang AS name FROM documents WHERE lang IS NOT NULL")
@@ -418,3 +422,204 @@ def verify_totals(spark, sf_dir):
     """Totals by split."""
     rows = verify.verify_steps(steps(spark, sf_dir)).select(F.when(F.col("user_id") % 2 == 0, "train").otherwise("dev").alias("split"), "result.passed")
     return curate.totals(rows)
+
+
+def _ways() -> str:
+    """Methods and states with the first states that the method's triggers lead to, as rows."""
+    rows = []
+    for m in DEFAULT.methods:
+        for at in DEFAULT.states:
+            ends = [DEFAULT.arcs[at, t] for t in DEFAULT.triggers[m] if (at, t) in DEFAULT.arcs]
+            rows.append(f"('{m}', '{at}', '{', '.join(ends)}')")
+    return "(VALUES " + ", ".join(rows) + ") AS ways(w_method, w_state, ends)"
+
+
+CLASS = """CASE WHEN NOT wrapped THEN 'no_think' WHEN NOT js_ok THEN 'bad_json' WHEN NOT json_exists(js, '$.params') THEN 'missing_keys' WHEN NOT parsed THEN 'bad_version'
+  WHEN method IS NULL THEN 'unknown_method' WHEN NOT schema_ok THEN 'schema' WHEN NOT moved THEN 'transition' END"""
+MESSAGE = f"""CASE {CLASS} WHEN 'no_think' THEN 'no thought in its tags before the call' WHEN 'bad_json' THEN 'the call is not strict JSON' WHEN 'missing_keys' THEN 'the call lacks one of its four keys'
+  WHEN 'bad_version' THEN 'jsonrpc is not ' || chr(39) || '2.0' || chr(39) WHEN 'unknown_method' THEN 'unknown method: ' || json_extract_string(js, '$.method') WHEN 'schema' THEN 'parameters of ' || method || ' break their schema' WHEN 'transition' THEN """
+
+
+@query(f"SELECT event_id, {CLASS} AS error_class, {MESSAGE} 'transition_valid=0: ' || method || ' from ' || prior_state || ' with trigger ' || coalesce(expected_trigger, 'none') || ' and expected state ' || coalesce(expected_state_after, 'any') END AS error_message FROM {B.judged_sql(OUT)}")
+def step_errors(spark, sf_dir):
+    """What is wrong with each step, in words."""
+    return verify.verify_steps(steps(spark, sf_dir)).select("event_id", "result.error_class", "result.error_message")
+
+
+@query(f"SELECT event_id, {MESSAGE} CASE WHEN ends = '' THEN 'transition_valid=0: no trigger of ' || method || ' has an arc from ' || prior_state ELSE 'transition_valid=0: ' || method || ' from ' || prior_state || ' leads to ' || ends || ' and not to ' || expected_state_after END END AS error_message FROM {B.judged_sql(OUT, infer=True)} LEFT JOIN {_ways()} ON w_method = method AND w_state = prior_state")
+def infer_errors(spark, sf_dir):
+    """The messages where triggers are inferred."""
+    return verify.verify_steps(steps(spark, sf_dir), infer=True, trigger="").select("event_id", "result.error_message")
+
+
+@query(f"SELECT event_id, parsed AND method IS NOT NULL AND schema_ok AND (method <> 'ticket_open' OR json_extract_string(js, '$.params.body_text') LIKE 'text 1%') AS schema_ok FROM {B.facts_sql(OUT)}")
+def loaded_domain(spark, sf_dir):
+    """Parameters against the schemas of another domain, with references, choices and patterns."""
+    opened = {**DEFAULT.params["ticket_open"], "allOf": [{"properties": {"body_text": {"pattern": "^text 1"}}}, {"properties": {"lifecycle_profile": {"enum": ["std", "long"]}}}]}
+    asked = {"$ref": "#/$defs/ticket", "unevaluatedProperties": False}
+    domain = replace(DEFAULT, params={**DEFAULT.params, "ticket_open": opened, "ticket_get": asked}, defs={"ticket": {"type": "object", "required": ["ticket_id"], "properties": {"ticket_id": {"type": "string", "minLength": 1}}}})
+    facts = F.get(verify.stateless(F.array("output"), domain), 0)
+    return steps(spark, sf_dir).select("event_id", facts["schema_ok"].alias("schema_ok"))
+
+
+@query(FOLD + "SELECT trajectory_id, passed, CAST(coalesce(first_failed, n_steps) AS BIGINT) AS n_steps FROM graded")
+def record_stop(spark, sf_dir):
+    """records folded up to their first failure."""
+    out = verify.verify_records(B.records(table(spark, sf_dir, "events")), stop_at_failure=True)
+    return out.select("trajectory_id", F.col("result.passed").alias("passed"), F.size("result.steps").cast("long").alias("n_steps"))
+
+
+def saved(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Records of one step, and the responses of those whose output has a thought; the others lack their files."""
+    rows = steps(spark, sf_dir).withColumn("trajectory_id", F.col("event_id").cast("string"))
+    step = F.array(F.struct("prior_state", "expected_trigger", "expected_state_after"))
+    records = rows.select("trajectory_id", F.col("prior_state").alias("initial_state"), F.lit(None).cast("string").alias("final_state"), step.alias("steps"))
+    o = F.col("output")
+    kept = rows.where(text.has_thought(o)).select("trajectory_id", F.lit(0).alias("step_idx"), text.thought(o).alias("think"), text.call_text(o).alias("call"))
+    return records, kept
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS trajectory_id, passed, CAST(CASE WHEN wrapped THEN 0 ELSE 2 END AS BIGINT) AS missing, parse FROM {B.judged_sql(OUT)}")
+def saved_scores(spark, sf_dir):
+    """Records graded by saved responses; a missing file is a parse failure."""
+    out = score.saved_scores(*saved(spark, sf_dir))
+    return out.select("trajectory_id", F.col("result.passed").alias("passed"), "missing", F.get("result.steps", F.lit(0))["parse"].alias("parse"))
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS trajectory_id, passed, new_state FROM {B.judged_sql(OUT)}")
+def saved_step(spark, sf_dir):
+    """One step graded by its saved pair of responses."""
+    return score.saved_step(*saved(spark, sf_dir), 0).select("trajectory_id", "result.passed", "result.new_state")
+
+
+SPLIT = "CASE CAST(doc_id % 3 AS INTEGER) WHEN 0 THEN 'train' WHEN 1 THEN 'dev' ELSE 'test' END"
+
+
+def _pair_sql(a: str, b: str) -> str:
+    return f"""SELECT '{a}/{b}' AS pair, (SELECT count(*) FROM (SELECT text FROM s WHERE split = '{a}' INTERSECT SELECT text FROM s WHERE split = '{b}')) AS exact_overlap,
+  (SELECT string_agg(first, ',' ORDER BY first) FROM (SELECT min(id) AS first FROM s WHERE split = '{a}' AND text IN (SELECT text FROM s WHERE split = '{b}') GROUP BY text ORDER BY first LIMIT 3)) AS exact_examples,
+  (SELECT count(*) FROM pairs WHERE ls = '{a}' AND rs = '{b}') AS similar_pairs,
+  (SELECT string_agg(l || '~' || r, ',' ORDER BY l, r) FROM (SELECT l, r FROM pairs WHERE ls = '{a}' AND rs = '{b}' ORDER BY l, r LIMIT 3)) AS examples"""
+
+
+@query(f"""WITH s AS (SELECT CAST(doc_id AS VARCHAR) AS id, text, {SPLIT} AS split, {WORDS} AS t FROM documents), tokens AS (SELECT id, split, len(t) AS n, unnest(t) AS w FROM s),
+met AS (SELECT l.id AS l, r.id AS r, any_value(l.split) AS ls, any_value(r.split) AS rs, any_value(l.n) AS ln, any_value(r.n) AS rn, count(*) AS shared
+  FROM tokens l JOIN tokens r ON l.w = r.w WHERE l.split <> r.split AND l.n >= 0.8 * r.n - 1e-9 AND r.n >= 0.8 * l.n - 1e-9 GROUP BY 1, 2),
+pairs AS (SELECT l, r, ls, rs FROM met WHERE shared / (ln + rn - shared) >= 0.8)
+""" + " UNION ALL ".join(_pair_sql(a, b) for a, b in (("train", "dev"), ("train", "test"), ("dev", "test"))))
+def audit_splits(spark, sf_dir):
+    """Three splits held against each other, with examples."""
+    d = table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct(F.col("text"), F.lit("hand").alias("source"), F.col("doc_id").alias("provenance")))
+    rows = d.select(F.col("doc_id").cast("string").alias("trajectory_id"), F.col("text").alias("situation"), record.alias("raw"), F.expr(SPLIT.replace("INTEGER", "INT")).alias("split"))
+    named = F.transform("examples", lambda e: F.concat(e["left_id"], F.lit("~"), e["right_id"]))
+    out = audit.audit_splits(rows)
+
+    def listed(values) -> F.Column:
+        return F.nullif(F.array_join(values, ","), F.lit(""))
+
+    return out.select("pair", "exact_overlap", listed(F.col("exact_examples")).alias("exact_examples"), "similar_pairs", listed(named).alias("examples"))
+
+
+@query("SELECT event_id, sha256('{\"k\": ' || json_extract_string(props, '$.k') || '}') AS digest FROM events")
+def content_digests(spark, sf_dir):
+    """Digests of records whatever the order of their keys and their origin."""
+    k = F.from_json("props", "k bigint")["k"]
+    raw = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"source": "x", "k":'), k.cast("string"), F.lit("}"))).otherwise(F.concat(F.lit('{"k":'), k.cast("string"), F.lit(',"provenance":{"a":1}}')))
+    return table(spark, sf_dir, "events").select("event_id", audit.content_digest(raw).alias("digest"))
+
+
+GATE = "CASE WHEN NOT wrapped THEN 'teacher_error' WHEN NOT js_ok THEN 'json_decode' WHEN coalesce(method = 'ticket_history', false) THEN 'malformed_structure' WHEN passed THEN 'accept' ELSE 'verifier_failed' END"
+
+
+def completions(spark, sf_dir) -> DataFrame:
+    """Outputs as a teacher's completions: fenced records of one step; histories come without their thought."""
+    o, q = F.col("output"), F.to_json(F.struct("prior_state", "expected_trigger", "expected_state_after"))
+    call = text.call_text(o)
+    lost = call.contains('"method":"ticket_history"')
+    step = F.concat(F.lit('{"prompt_context":'), q, F.when(lost, F.lit("")).otherwise(F.lit(',"thinking":"t"')), F.lit(',"expected_trigger":'), F.coalesce(F.concat(F.lit('"'), F.col("expected_trigger"), F.lit('"')), F.lit("null")), F.lit(',"expected_state_after":'), F.coalesce(F.concat(F.lit('"'), F.col("expected_state_after"), F.lit('"')), F.lit("null")), F.lit(',"tool_call":'), call, F.lit("}"))
+    record = F.concat(F.lit('```json\n{"trajectory_id":"r","initial_state":"'), F.col("prior_state"), F.lit('","steps":['), step, F.lit("]}\n```"))
+    return steps(spark, sf_dir).withColumn("raw", F.when(text.has_thought(o), record)).withColumn("seed_id", F.col("user_id").cast("string")).withColumn("split", F.when(F.col("user_id") % 2 == 0, "train").otherwise("dev"))
+
+
+@query(f"SELECT event_id, {GATE} AS verdict FROM {B.judged_sql(OUT)}")
+def teacher_gate(spark, sf_dir):
+    """What becomes of each completion."""
+    return curate.gate(completions(spark, sf_dir)).select("event_id", "verdict")
+
+
+@query(f"SELECT count(*) FILTER (v = 'accept') AS accepted, count(*) FILTER (v <> 'accept') AS rejected, count(*) FILTER (v = 'accept' AND user_id % 2 = 0) AS train, count(*) FILTER (v = 'accept' AND user_id % 2 = 1) AS dev, CAST(0 AS BIGINT) AS test FROM (SELECT user_id, {GATE} AS v FROM {B.judged_sql(OUT)})")
+def expansion_counts(spark, sf_dir):
+    """Accepted and rejected completions, and those of each split."""
+    return curate.expansion_counts(curate.gate(completions(spark, sf_dir)))
+
+
+@query(f"SELECT CAST(user_id AS VARCHAR) AS seed_id, count(*) AS n FROM (SELECT user_id, {GATE} AS v FROM {B.judged_sql(OUT)}) WHERE v = 'accept' GROUP BY 1")
+def existing_by_seed(spark, sf_dir):
+    """The accepted rows that each seed has."""
+    good = curate.gate(completions(spark, sf_dir)).where("verdict = 'accept'")
+    rows = good.select(F.col("event_id").alias("row_idx"), F.col("record.trajectory_id").alias("trajectory_id"), "seed_id")
+    return curate.existing_by_seed(curate.accepted(rows, curate.teacher_provenance(F.lit("p"), "2024-05-06 07:08:09", seed_trajectory_id=F.col("seed_id"))))
+
+
+FIELDS = list(curate.TEACHER_FIELDS)
+
+
+@query("""SELECT doc_id, 'p' AS teacher_provider, lang AS teacher_model, NULL AS teacher_model_version, sha256(text) AS system_prompt_sha256, doc_id AS expansion_seed, 0.7 AS expansion_temperature, 'json_object' AS response_format,
+ NULL AS grammar_path, '2024-05-06T07:08:09.000000Z' AS expansion_timestamp_utc, source AS seed_trajectory_id, 'hand_seed' AS seed_provider, source AS seed_seed_trajectory_id FROM documents""")
+def provenance_structs(spark, sf_dir):
+    """The structs of expanded rows and of seeds."""
+    at = "2024-05-06 07:08:09"
+    teacher = curate.teacher_provenance(F.col("text"), at, teacher_provider="p", teacher_model=F.col("lang"), expansion_seed=F.col("doc_id"), expansion_temperature=0.7, response_format="json_object", seed_trajectory_id=F.col("source"))
+    out = table(spark, sf_dir, "documents").select("doc_id", teacher.alias("p"), curate.seed_provenance(at, seed_trajectory_id=F.col("source")).alias("h"))
+    return out.select("doc_id", *[F.col(f"p.{k}").alias(k) for k in FIELDS if k != "engine_version"], F.col("h.teacher_provider").alias("seed_provider"), F.col("h.seed_trajectory_id").alias("seed_seed_trajectory_id"))
+
+
+@query("SELECT doc_id, split FROM documents, (VALUES ('train'), ('dev'), ('test')) AS names(split)")
+def identity_split(spark, sf_dir):
+    """Every row in every split."""
+    return curate.same_in_all(table(spark, sf_dir, "documents").select("doc_id")).select("doc_id", "split")
+
+
+def _request_sql(ask: str, extra: str = "", more: str = "") -> str:
+    system = curate.SYSTEM.replace("'", "''")
+    return f"""'{{"model":"m","messages":[{{"role":"system","content":"{system}"}},{{"role":"user","content":"Prior state: ' || role || '"}},{extra}{{"role":"user","content":"{ask}"}}],"max_tokens":256,"temperature":0.0{more}}}'"""
+
+
+@query("SELECT conv_id AS trajectory_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS step_idx, sha256(" + _request_sql(curate.ASKS[0]) + ") AS think_sha256, sha256(" + _request_sql(curate.ASKS[1], """{"role":"assistant","content":"<think>' || md5(role) || '</think>"},""", ',"grammar":"root ::= [a-z]"') + ") AS call_sha256 FROM conversations")
+def request_payloads(spark, sf_dir):
+    """K9: digests of the two requests of each step."""
+    out = curate.requests(curate.step_samples(talks(spark, sf_dir)), "m", "root ::= [a-z]")
+    return out.select("trajectory_id", "step_idx", "think_sha256", "call_sha256")
+
+
+@query("""SELECT event_id, coalesce(json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') AND k >= 0 AND (CASE WHEN k % 2 = 0 THEN k NOT IN (10, 20) ELSE k <= 50 OR k IN (61, 71, 81) END), false) AS valid
+FROM (SELECT event_id, props, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""")
+def schema_keywords(spark, sf_dir):
+    """2.10: references, conditions, choices and closed objects of a general schema."""
+    rule = {
+        "$defs": {"n": {"$anchor": "whole", "type": ["integer", "null"], "minimum": 0}},
+        "type": "object",
+        "allOf": [{"properties": {"k": {"$ref": "#whole"}}}, True],
+        "required": ["k"],
+        "propertyNames": {"pattern": "^k$", "maxLength": 1},
+        "minProperties": 1,
+        "maxProperties": 1,
+        "patternProperties": {"^k": {"exclusiveMaximum": 1e9}},
+        "unevaluatedProperties": False,
+        "dependentRequired": {"j": ["k"]},
+        "if": {"properties": {"k": {"multipleOf": 2}}},
+        "then": {"properties": {"k": {"not": {"enum": [10, 20.0]}}}},
+        "else": {"properties": {"k": {"anyOf": [{"maximum": 50}, {"oneOf": [{"const": 61}, {"const": 71}, {"const": 81}]}]}}},
+    }
+    return table(spark, sf_dir, "events").select("event_id", schema.validate(F.col("props"), rule).alias("valid"))
+
+
+@query("""SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) % 7 AS n, CAST(len(list_distinct([doc_id % 3, doc_id % 2, 2])) = 3 AS BOOLEAN) AS valid FROM documents""")
+def array_keywords(spark, sf_dir):
+    """2.10: keywords of arrays."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    rule = {"type": "array", "uniqueItems": True, "minItems": 3, "maxItems": 3, "prefixItems": [{"maximum": 2}, {"enum": [0, 1]}], "items": {"const": 2}, "contains": {"const": 2}, "minContains": 1, "unevaluatedItems": False}
+    texts = F.to_json(F.array(F.col("doc_id") % 3, F.col("doc_id") % 2, F.lit(2)))
+    placed = score.places(d, ["lang"], ["doc_id"], F.shiftright("doc_id", 16), "place")
+    return placed.select("doc_id", ((F.col("place") + 1) % 7).alias("n"), schema.validate(texts, rule).alias("valid"))

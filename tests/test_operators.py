@@ -205,7 +205,7 @@ def test_gate_verdicts(spark):
         return {"trajectory_id": "x", "initial_state": "NEW", "steps": [{k: v for k, v in GOOD["steps"][0].items() if k != key}]}
 
     cases = [(GOOD, "accept"), ([1], "malformed_structure"), ({"trajectory_id": "x"}, "malformed_structure"), (without("thinking"), "malformed_structure"), (without("tool_call"), "malformed_structure"), (GOOD | {"steps": []}, "verifier_failed"), (GOOD | {"final_state": "CLOSED"}, "verifier_failed")]
-    rows = [(json.dumps(c), v) for c, v in cases] + [("```json\n" + json.dumps(GOOD) + "\n```", "accept"), ("{", "json_decode"), (None, "json_decode")]
+    rows = [(json.dumps(c), v) for c, v in cases] + [("```json\n" + json.dumps(GOOD) + "\n```", "accept"), ("{", "json_decode"), (None, "teacher_error")]
     out = curate.gate(spark.createDataFrame(rows, "raw string, want string"))
     assert [(r["want"], r["verdict"]) for r in out.collect()] == [(v, v) for _, v in rows]
     totals = curate.totals(out.withColumn("split", F.lit("dev"))).first()

@@ -126,6 +126,26 @@ def test_writers(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "log")).count() == 2
 
 
+def test_data_set_with_seeds_and_partial_log(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "train"), ("b", "dev"), ("c", "rest"), ("d", "train")], "value string, split string")
+    seeds = spark.createDataFrame([("s1",), ("s2",)], "value string")
+    partial, folder = str(tmp_path / "partial"), str(tmp_path / "set")
+    sinks.append_partial(rows.limit(1), partial)
+    assert sinks.write_data_set(rows, seeds, folder, partial) == [] and not (tmp_path / "partial").exists()
+    assert [sorted(r[0] for r in spark.read.text(f"{folder}/{n}").collect()) for n in ("train", "dev", "test")] == [["a", "d"], ["b"], ["s1", "s2"]]
+    assert sinks.write_data_set(rows, seeds, folder) == ["train", "dev", "test"]
+
+
+def test_runs_open_with_a_marker_that_is_no_rejection(spark, tmp_path):
+    from stepledger.operators import rejects
+
+    path = str(tmp_path / "log")
+    sinks.start_run(spark, path, "2024-01-01T00:00:00.000000Z", 7)
+    sinks.append_log(spark.createDataFrame([("json_decode", "s")], "reason string, seed_id string"), path)
+    log = spark.read.json(path)
+    assert log.count() == 2 and [r["reason"] for r in rejects.rejections(log).collect()] == ["json_decode"]
+
+
 def test_reports_as_text(spark):
     log = spark.createDataFrame([(0, "r", "s", "e"), (1, "r", "s", "f")], "row_idx long, reason string, seed_id string, error string")
     assert "- `r`: 2" in render.rejection_summary(log) and "none" in render.rejection_summary(log.limit(0))
@@ -142,6 +162,8 @@ def test_reports_as_text(spark):
     assert len(rules) == 13 and '"\\"ticket_open\\""' in render.grammar() and rules[2].index("admin_agent_add") < rules[2].index("ticket_status")
     frag = render.fragmentation(spark.createDataFrame([("ab",), ("c",), ("ab",)], "string string"), lambda t: [ord(c) for c in t])
     assert [(r["string"], r["token_count"], r["fragmented"]) for r in frag.collect()] == [("ab", 2, True), ("c", 1, False)]
+    report = render.fragmentation_report(render.fragmentation(spark.createDataFrame([("ab",), ("c",)], "string string"), lambda t: [ord(c) for c in t], decode=chr), "letters")
+    assert "- fragmented: 1 (50%, high)" in report and "| ab | 2 | a b |" in report and "single tokens: c" in report
     assert [render.fragmentation_band(x) for x in (0, 0.1, 0.3, 0.9)] == ["none", "low", "medium", "high"] and "ticket_id" in render.vocabulary_of()
 
 
