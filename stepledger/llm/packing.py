@@ -16,6 +16,7 @@ gives an empty result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from bisect import bisect_right
@@ -31,7 +32,7 @@ CAPACITY = 2048
 #: Pieces that one rank window holds together.
 RANK_ROWS = 4_000
 #: Nodes of a whole search, some seconds, and states that it remembers.
-SEARCH_NODES, SEEN_STATES = 1_000_000, 200_000
+SEARCH_NODES, SEEN_STATES = 400_000, 100_000
 #: Completions that the first round takes of a size, and nodes to find them in.
 FEW, FEW_NODES = 3, 500
 
@@ -133,10 +134,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
 def least_bins(counts: dict[int, int], capacity: int) -> int:
     """A lower bound: for each small size a, what stands above capacity - a is alone in its bin, what is above
     half the capacity has a bin of its own, and the rest from a on needs the space that these leave."""
-    n, total = np.zeros(capacity + 2, dtype=np.int64), np.zeros(capacity + 2, dtype=np.int64)
-    for size, count in counts.items():
-        n[size], total[size] = count, size * count
-    n, total = np.cumsum(n), np.cumsum(total)
+    n = np.zeros(capacity + 2, dtype=np.int64)
+    n[list(counts)] = list(counts.values())
+    return bound_of(n, capacity)
+
+
+def bound_of(n: np.ndarray, capacity: int) -> int:
+    """The bound of least_bins() for counts by size."""
+    total = np.cumsum(n * np.arange(len(n)))
+    n = np.cumsum(n)
     half = capacity // 2
     a = np.arange(half + 1)
     alone, big = n[-1] - n[capacity - a], n[capacity - a] - n[half]
@@ -234,39 +240,55 @@ better incumbent, the second one all of them. A branch ends where its waste, or
     total = sum(s * n for s, n in counts.items())
     best, least = best_fit(counts, capacity), least_bins(counts, capacity)
     upper, proved = sum(n for _, n in best), False
-    for few, share in ((FEW, 0.5), (None, 0.5)):
-        budget = Budget(None if nodes is None and not few else int((nodes or SEARCH_NODES) * share) if nodes != 0 else 0)
-        seen: dict[tuple, int] = {}
-        stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
+    whole = np.zeros(capacity + 2, dtype=np.int64)
+    whole[list(counts)] = list(counts.values())
+    for few in (FEW, None):
+        budget = Budget(None if nodes is None and not few else (SEARCH_NODES if nodes is None else nodes) // 2)
+        seen: dict[bytes, int] = {}
+        # what was left before a filling, the filling and its uses, the steps before it, bins and waste with it
+        stack: list[tuple] = [(whole, (), 0, None, 0, 0)]
         while stack and upper > least and budget.spend():
-            left, plan, bins, waste = stack.pop()
-            if not left:
+            before, filling, times, way, bins, waste = stack.pop()
+            left = before.copy()
+            for size, c in filling:
+                left[size] -= c * times
+            steps = (way, filling, times) if times else None
+            if not left.any():
                 if bins < upper:
-                    best, upper = plan, bins
+                    best, upper = steps_of(steps), bins
                 continue
             spare = (upper - 1) * capacity - total - waste
-            if spare < 0 or bins + least_bins(left, capacity) >= upper:
+            if spare < 0 or bins + bound_of(left, capacity) >= upper:
                 continue
-            state = tuple(sorted(left.items()))
+            state = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
             if seen.get(state, bins + 1) <= bins:
                 continue
             if len(seen) < SEEN_STATES:
                 seen[state] = bins
-            top = state[-1][0]
-            rest = left | {top: left[top] - 1}
+            sizes = np.flatnonzero(left).tolist()
+            top = sizes[-1]
+            rest = dict(zip(sizes, left[sizes].tolist(), strict=True))
+            rest[top] -= 1
             options = []
-            for wasted, filling in completions(capacity - top, rest, [s for s, _ in state], spare, budget, few):
-                whole = filling | {top: filling.get(top, 0) + 1}
-                most = min(left[s] // c for s, c in whole.items())
-                for times in (most, 1) if most > 1 else (1,):
-                    if wasted * times <= spare:
-                        after = {s: n for s in left if (n := left[s] - whole.get(s, 0) * times)}
-                        options.append((after, [*plan, (whole, times)], bins + times, waste + wasted * times))
+            for wasted, found in completions(capacity - top, rest, sizes, spare, budget, few):
+                found[top] = found.get(top, 0) + 1
+                most = min(int(left[s]) // c for s, c in found.items())
+                pairs = tuple(found.items())
+                options += [(left, pairs, t, steps, bins + t, waste + wasted * t) for t in ((most, 1) if most > 1 else (1,)) if wasted * t <= spare]
             stack.extend(reversed(options))
-        proved = upper <= least or (not few and not stack and budget.left is None) or (not few and not stack and budget.left >= 0)
+        proved = upper <= least or (not few and not stack and (budget.left is None or budget.left >= 0))
     return Packing(best, upper if proved else least, proved)
 
 
+def steps_of(steps: tuple | None) -> list[tuple[dict[int, int], int]]:
+    """The fillings of linked steps and their uses."""
+    out = []
+    while steps:
+        steps, filling, times = steps
+        out.append((dict(filling), times))
+    return out[::-1]
+
+
 def placement(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
     """For each size, which ranks stand where: rows ordered by (size, low)."""
     rows, seen, base = [], {}, 0
