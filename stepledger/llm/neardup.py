@@ -24,7 +24,9 @@ by these shingles and each group is searched with the same index in a radius
 that leaves out about one such link in 100,000 at worst (where fingerprint
 bits are independent). The order is by hash, with frequent shingles last; any
 order finds the same links. How many leading shingles two sets share bounds
-their similarity, and what that leaves is compared exactly.
+their similarity, and what that leaves is compared exactly. In large groups
+all are compared with the group's middle first; pairs that this links already
+are not compared, so a group of n near copies costs n pairs and not n squared.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ SEEN_DOCS, SEEN_IN, FREQUENT = 8_000, 8, 50_000
 FANOUT, FRONTIER = 16, 1 << 20
 #: Fingerprints of one group, on average over a random table, and rows of one task.
 GROUP_ROWS, TASK_ROWS = 256, 1_000_000
+#: Sets with one leading shingle from which on their middle is compared first.
+STAR = 64
 #: Fingerprints of one group at most; larger groups are dealt out by more bits.
 GROUP_MOST = 1 << 16
 #: Shingles hashed at once.
@@ -133,22 +137,27 @@ class GrayIndex:
         for _, _, starts in self.levels[:-1]:
             self.last.append(self.last[-1][starts[1:] - 1])
 
-    def links(self, distance: int = DISTANCE):
-        """Pairs (i, j), i < j, of leaves of one tree within the distance, some at a time."""
+    def links(self, distance: int = DISTANCE, ask: np.ndarray | None = None):
+        """Pairs (i, j), i < j, of leaves of one tree within the distance, some at a time; with ``ask`` those that have one of these leaves."""
         top = len(self.levels) - 1
-        queries = np.arange(len(self.codes))
-        stack = [(top, queries[a : a + FRONTIER // 16], self.root[a : a + FRONTIER // 16], None) for a in range(0, len(queries), FRONTIER // 16)]
+        queries = np.arange(len(self.codes)) if ask is None else np.flatnonzero(ask)
+        stack = [(top, queries[a : a + FRONTIER // 16], self.root[queries[a : a + FRONTIER // 16]], None) for a in range(0, len(queries), FRONTIER // 16)]
         while stack:
             level, q, node, so_far = stack.pop()
             pattern, mask, _ = self.levels[level]
             differ = np.bitwise_count((self.codes[q] ^ pattern[node]) & mask[node]).astype(np.int16)
             if so_far is not None:
                 differ += so_far
-            good = (differ <= distance) & (self.last[level][node] > q)
+            good = differ <= distance
+            if ask is None:
+                good &= self.last[level][node] > q
             q, node, differ = q[good], node[good], differ[good]
             if not len(q):
                 continue
             if level == 0:
+                if ask is not None:  # of two that are asked for the smaller one counts
+                    once = (node != q) & (~ask[node] | (node > q))
+                    q, node = np.minimum(q, node)[once], np.maximum(q, node)[once]
                 yield q, node
                 continue
             starts = self.levels[level - 1][2]
@@ -350,31 +359,81 @@ def shingle_sets(docs: DataFrame, whole: bool = False, late: tuple[np.ndarray, n
     return rows.mapInArrow(run, "doc_id long, digest string, key long, fp long, n long, held array<long>")
 
 
+def close_enough(codes: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether fingerprints and sizes of sets allow them to be similar."""
+    low, high = SIMILAR
+    return (np.bitwise_count(codes[i] ^ codes[j]) <= RADIUS) & (high * n[i] >= low * n[j]) & (high * n[j] >= low * n[i])
+
+
+def grouped_rows(batches, columns: tuple[str, ...]) -> list[np.ndarray] | None:
+    """The rows of shingles that several sets have, by shingle and Gray rank: these columns, codes and groups from 0."""
+    kept = [b for b in batches if b.num_rows]
+    if not kept:
+        return None
+    table = pa.Table.from_batches(kept)
+    codes = table.column("fp").to_numpy().view(np.uint64)
+    _, group, size = np.unique(table.column("h").to_numpy(), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(size[group] > 1)
+    order = shared[np.lexsort((gray_rank(codes[shared]), group[shared]))]
+    if not len(order):
+        return None
+    return [*[table.column(c).to_numpy()[order] for c in columns], codes[order], np.unique(group[order], return_inverse=True)[1]]
+
+
+def spread(distinct: DataFrame) -> DataFrame:
+    """A row for each leading shingle of each set, dealt out by shingle."""
+    rows = distinct.agg(F.sum(F.size("held"))).first()[0] or 0
+    tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // TASK_ROWS)
+    return distinct.select(*[c for c in distinct.columns if c not in ("held", "first")], F.explode("held").alias("h")).repartition(tasks, "h")
+
+
+def stars(distinct: DataFrame) -> DataFrame:
+    """Pairs a, b of keys: in each large group its middle, the fingerprint next to the majority of bits, with all others that may be similar."""
+
+    def run(batches):
+        got = grouped_rows(batches, ("key", "n"))
+        if got is None:
+            return
+        key, n, codes, group = got
+        starts = np.flatnonzero(np.r_[True, np.diff(group) > 0])
+        size = np.diff(np.r_[starts, len(group)])
+        for start, many in zip(starts[size > STAR], size[size > STAR], strict=True):
+            own = np.arange(start, start + many)
+            bits = np.zeros(BITS, dtype=np.int64)
+            for at in range(0, many, CHUNK):
+                bits += np.unpackbits(codes[own[at : at + CHUNK]].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            centre = np.uint64(int.from_bytes(np.packbits(2 * bits > many).tobytes(), "big"))
+            middle = own[np.lexsort((key[own], np.bitwise_count(codes[own] ^ centre)))[0]]
+            near = own[close_enough(codes, n, own, np.full(many, middle)) & (own != middle)]
+            columns = [np.minimum(key[near], key[middle]), np.maximum(key[near], key[middle])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b"])
+
+    return spread(distinct).mapInArrow(run, "a long, b long").distinct()
+
+
 def candidates(distinct: DataFrame) -> DataFrame:
-    """Pairs a, b of keys that share enough leading shingles, differ in few bits and are of similar size.
+    """Pairs a, b of keys with other labels that share enough leading shingles, differ in few bits and are of similar size.
 
     Of two sets the one whose leading shingles end first has all that it
     shares in the other's, so at most its remaining ones are shared besides.
+    Sets with one label are linked already. In each group only those outside
+    its most frequent label search, so a group of copies costs no pairs.
     """
-    rows = distinct.agg(F.sum(F.size("held"))).first()[0] or 0
-    tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // TASK_ROWS)
     low, high = SIMILAR
 
     def run(batches):
-        kept = [b for b in batches if b.num_rows]
-        if not kept:
-            return
-        table = pa.Table.from_batches(kept)
-        key, codes, n, shingle = (table.column(c).to_numpy() for c in ("key", "fp", "n", "h"))
-        codes = codes.view(np.uint64)
-        _, group, size = np.unique(shingle, return_inverse=True, return_counts=True)
-        shared = np.flatnonzero(size[group] > 1)
-        order = shared[np.lexsort((gray_rank(codes[shared]), group[shared]))]
-        if not len(order):
+        got = grouped_rows(batches, ("key", "n", "label"))
+        if got is None:
             return
-        key, codes, n, group = key[order], codes[order], n[order], group[order]
-        for i, j in GrayIndex(codes, group).links(RADIUS):
-            near = (high * n[i] >= low * n[j]) & (high * n[j] >= low * n[i])
+        key, n, label, codes, group = got
+        order = np.lexsort((label, group))
+        first = np.flatnonzero(np.r_[True, (np.diff(group[order]) > 0) | (np.diff(label[order]) != 0)])
+        size = np.diff(np.r_[first, len(order)])
+        most = np.zeros(group[-1] + 1, dtype=np.int64)
+        rank = np.lexsort((size, group[order[first]]))
+        most[group[order[first]][rank]] = label[order[first]][rank]  # the largest of a group comes last
+        for i, j in GrayIndex(codes, group).links(RADIUS, label != most[group]):
+            near = (label[i] != label[j]) & close_enough(codes, n, i, j)
             i, j = i[near], j[near]
             # the shared leading shingles that a similar pair has at least
             rest = np.maximum(low * n[i] + high - 1, low * n[j] + high - 1) // high - 1
@@ -382,14 +441,12 @@ def candidates(distinct: DataFrame) -> DataFrame:
             columns = [np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), need]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "need"])
 
-    dealt = distinct.select("key", "fp", "n", F.explode("held").alias("h")).repartition(tasks, "h")
-    found = dealt.mapInArrow(run, "a long, b long, need long").groupBy("a", "b")
+    found = spread(distinct).mapInArrow(run, "a long, b long, need long").groupBy("a", "b")
     return found.agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n >= need").select("a", "b")
 
 
-def similar_edges(docs: DataFrame, distinct: DataFrame, digest: str) -> DataFrame:
-    """All pairs u, v of keys whose shingle sets are similar enough, compared whole."""
-    pairs = materialise(candidates(distinct), "candidates")
+def similar_edges(docs: DataFrame, distinct: DataFrame, digest: str, pairs: DataFrame) -> DataFrame:
+    """The pairs u, v of keys whose shingle sets are similar enough, compared whole."""
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     first = distinct.join(keys, "key", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("of"))
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(digest).alias("of")).join(first, ["doc_id", "of"], "left_semi")
@@ -399,7 +456,25 @@ def similar_edges(docs: DataFrame, distinct: DataFrame, digest: str) -> DataFram
     right = sets.select(F.col("key").alias("b"), F.col("held").alias("t"))
     both = F.size(F.array_intersect("s", "t"))
     low, high = SIMILAR
-    return pairs.join(left, "a").join(right, "b").where(high * both >= low * (F.size("s") + F.size("t") - both)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = pairs.join(left, "a").join(right, "b").where(high * both >= low * (F.size("s") + F.size("t") - both))
+    out = materialise(found.select(F.col("a").alias("u"), F.col("b").alias("v")), "similar")
+    discard(sets)
+    return out
+
+
+def linked(docs: DataFrame, distinct: DataFrame, digest: str) -> DataFrame:
+    """Edges u, v that connect all keys of similar sets: those to the middles of large groups, then those between what these leave apart."""
+    middles = materialise(stars(distinct), "stars")
+    own = F.col("key")
+    if middles.isEmpty():
+        found, labelled = None, distinct.withColumn("label", own)
+    else:
+        found = similar_edges(docs, distinct, digest, middles)
+        label = components(found, "stars").select(F.col("node").alias("key"), "label")
+        labelled = materialise(distinct.join(label, "key", "left").withColumn("label", F.coalesce("label", own)), "labelled")
+    pairs = materialise(candidates(labelled), "candidates")
+    more = similar_edges(docs, distinct, digest, pairs)
+    return more if found is None else found.unionByName(more)
 
 
 def keep_similar(docs: DataFrame) -> DataFrame:
@@ -415,7 +490,7 @@ def keep_similar(docs: DataFrame) -> DataFrame:
     marks = shingle_sets(named, late=frequent(named), digest=digest)
     firsts = F.min(F.struct("doc_id", "digest")).alias("first")
     distinct = materialise(marks.groupBy("key").agg(firsts, F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("held").alias("held")), "distinct")
-    labels = components(similar_edges(named, distinct, digest), "similar")
+    labels = components(linked(named, distinct, digest), "similar")
     of = distinct.join(labels, distinct["key"] == labels["node"], "left").select("first", F.coalesce("label", "key").alias("label"))
     kept = of.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept"), F.col("first.digest").alias("_digest"))
     found = named.join(kept, (named["doc_id"].cast("long") == kept["_kept"]) & (named[digest] == kept["_digest"]), "left_semi")

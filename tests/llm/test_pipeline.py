@@ -67,9 +67,10 @@ def test_run_returns_the_last_stage(spark, folder):
     assert decontam.RATE > 0
 
 
-@pytest.mark.parametrize("seen", [3, neardup.SEEN_IN])
-def test_near_duplicates_are_those_of_similar_shingle_sets(spark, monkeypatch, seen):
+@pytest.mark.parametrize("seen, star", [(3, 1), (neardup.SEEN_IN, 4), (neardup.SEEN_IN, neardup.STAR)])
+def test_near_duplicates_are_those_of_similar_shingle_sets(spark, monkeypatch, seen, star):
     monkeypatch.setattr(neardup, "SEEN_IN", seen)
+    monkeypatch.setattr(neardup, "STAR", star)
     rng = random.Random(8)
     words = [f"w{i}" for i in range(400)]
     texts = []
@@ -105,3 +106,21 @@ def test_large_groups_of_copies_leave_one_whole_document_each(spark):
     lines = corpus_pipeline.materialise(corpus_pipeline.line_dedup(spark, docs, ""), "lines")
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.simhash_neardup(spark, lines, "").collect()}
     assert kept == {**{i: body[i] for i in range(101)}, 200: body[101]}
+
+
+def test_large_groups_of_near_copies_cost_few_pairs(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(500)}" for _ in range(200)]
+    texts = []
+    for i in range(150):
+        copy = list(base)
+        for _ in range(2):
+            copy[rng.randrange(200)] = f"x{i}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"w{rng.randrange(500)}" for _ in range(80)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("d", neardup.F.md5("text"))
+    marks = neardup.shingle_sets(docs, digest="d")
+    distinct = corpus_pipeline.materialise(marks.groupBy("key").agg(neardup.F.min(neardup.F.struct("doc_id", "digest")).alias("first"), neardup.F.first("fp").alias("fp"), neardup.F.first("n").alias("n"), neardup.F.first("held").alias("held")), "distinct")
+    assert neardup.linked(docs, distinct, "d").count() < 10 * len(texts)
+    kept = {r["doc_id"] for r in neardup.keep_similar(docs.drop("d")).collect()}
+    assert kept == {0, *range(150, 170)}
