@@ -13,11 +13,16 @@ another number is found.
 There are no labels of personal data, so the trees learn from base spans in
 their surroundings, as they are and written in other ways (``DISGUISES``),
 against proposals of the corpus outside base spans, other parts of the same
-text, and look-alikes (dates, versions, amounts). All documents are searched
-for these surroundings; of each kind those with the smallest hashes are kept,
-at most ``WINDOWS``. A fourth of them, written in ways of which training has
-none (``UNSEEN``), calibrates for each kind the lowest threshold that still
-gives the wanted precision.
+text, and look-alikes (dates, versions, amounts). Every base span and every
+proposal of all documents is learned from or calibrates, however many there
+are; those of a kind that has more than ``WINDOWS`` weigh as much as
+``WINDOWS`` together, so that frequent kinds don't drown rare ones. A fourth
+of them by a hash, written in ways of which training has none (``UNSEEN``),
+calibrates for each kind the lowest threshold that still gives the wanted
+precision. Quantiles and the sums for splits are taken over all examples, as
+whole numbers, so the trees don't depend on how rows are spread; equal
+examples are one row with a weight. Up to ``DRIVER_ROWS`` different ones the
+driver adds up itself, more stay with the executors, with the same result.
 
 Defined results: a null text is an empty one without spans; a null doc_id is
 kept; each row gives one row, repeated or not; extra columns are not read;
@@ -32,6 +37,8 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +49,7 @@ from pyspark.sql import functions as F
 from stepledger.llm._shared import discard, materialise, slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Surroundings of each kind, and characters on each side of a span.
+#: What all surroundings of a kind weigh at most, and characters on each side of a span.
 WINDOWS, AROUND = 500, 32
 TREES, DEPTH, RATE, BINS, SEED = 60, 4, 0.2, 32, 23
 PRECISION, HELD, LEAST = 0.95, 0.25, 0.5
@@ -50,6 +57,12 @@ PRECISION, HELD, LEAST = 0.95, 0.25, 0.5
 INVENTED = (350, 120)
 #: Proposals scored at once.
 SCORED = 4096
+#: The weight of one example; weights and gradients are whole numbers of it, whose sums are exact in any order.
+UNIT = 1 << 30
+#: Different examples whose sums the driver makes itself.
+DRIVER_ROWS = 1 << 17
+#: Different examples that a task holds at once.
+HELD_ROWS = 1 << 14
 
 Span = tuple[int, int, int]
 
@@ -232,6 +245,104 @@ def features(text: str, start: int, kind: int, end: int) -> list[float]:
     ]
 
 
+Values = list[tuple[np.ndarray, np.ndarray]]
+
+
+def quantiles(values: Values) -> list[np.ndarray]:
+    """Edges of bins of equal weight, from the values of each feature and their weights."""
+    out = []
+    for v, w in values:
+        order = np.argsort(v, kind="stable")
+        upto = np.cumsum(w[order])
+        wanted = np.linspace(0, 1, BINS + 1)[1:-1] * (upto[-1] if len(upto) else 0)
+        out.append(np.unique(v[order][np.searchsorted(upto, wanted)]) if len(v) else np.array([]))
+    return out
+
+
+class Rows:
+    """Binned examples with whole weights, in this process."""
+
+    def __init__(self, bins: np.ndarray, y: np.ndarray, w: np.ndarray, kind: np.ndarray | None = None):
+        self.bins, self.y, self.w, self.kind = bins, y, w.astype(float), kind
+        self.score, self.known = None, 0
+
+    def weight(self) -> tuple[float, float]:
+        """The weight of label 1 and of all."""
+        return float(self.w @ self.y), float(self.w.sum())
+
+    def sums(self, model: Boosted, tree: list[tuple], nodes: list[int]) -> np.ndarray:
+        """Gradient, curvature and weight of each bin of each feature in these nodes of a tree."""
+        if self.score is None:
+            self.score = np.full(len(self.y), model.start)
+        for grown in model.trees[self.known :]:
+            self.score += model._walk(grown, self.bins)
+        self.known = len(model.trees)
+        place = np.full(len(tree), -1)
+        place[nodes] = np.arange(len(nodes))
+        place = place[model._reach(tree, self.bins)]
+        inside = place >= 0
+        place, bins, w = place[inside] * BINS, self.bins[inside], self.w[inside]
+        prob = 1 / (1 + np.exp(-self.score[inside]))
+        parts = (np.rint(w * (self.y[inside] - prob)), np.rint(w * prob * (1 - prob)), w)
+        out = np.empty((len(nodes), self.bins.shape[1], BINS, 3))
+        for f in range(self.bins.shape[1]):
+            for c, part in enumerate(parts):
+                out[:, f, :, c] = np.bincount(place + bins[:, f], part, len(nodes) * BINS).reshape(-1, BINS)
+        return out
+
+    def scored(self, model: Boosted) -> Iterator[tuple[int, float, int, int]]:
+        """(kind, score, weight of label 1, weight), by kind and falling score."""
+        p = model.likelihood(self.bins)
+        for i in np.lexsort((-p, self.kind)):
+            yield int(self.kind[i]), float(p[i]), int(self.w[i] * self.y[i]), int(self.w[i])
+
+
+def merged(bins: np.ndarray, y: np.ndarray, w: np.ndarray) -> Rows:
+    """Equal examples as one row, as fit() has them: gradients are rounded once for all of them."""
+    found, at = np.unique(np.column_stack([bins, y.astype(np.uint8)]), axis=0, return_inverse=True)
+    return Rows(found[:, :-1], found[:, -1].astype(np.int64), np.bincount(at.ravel(), w, len(found)))
+
+
+class SpreadRows:
+    """Binned examples with whole weights, in a frame (kind, y, w, x): the same sums."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows.select("kind", "y", "w", "x")
+
+    def weight(self) -> tuple[float, float]:
+        found = self.rows.agg(F.sum(F.col("w") * F.col("y")), F.sum("w")).first()
+        return float(found[0] or 0), float(found[1] or 0)
+
+    def sums(self, model: Boosted, tree: list[tuple], nodes: list[int]) -> np.ndarray:
+        def run(batches):
+            total = None
+            for batch in batches:
+                found = unpacked(batch).sums(model, tree, nodes)
+                total = found if total is None else total + found
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        # a row of sums for each core
+        tasks = max(1, self.rows.sparkSession.sparkContext.defaultParallelism)
+        shape = (len(nodes), len(model.edges), BINS, 3)
+        return sum((np.frombuffer(r["sums"]).reshape(shape) for r in self.rows.coalesce(tasks).mapInArrow(run, "sums binary").toLocalIterator()), np.zeros(shape))
+
+    def scored(self, model: Boosted) -> Iterator[tuple[int, float, int, int]]:
+        def run(batches):
+            for batch in batches:
+                p = model.likelihood(unpacked(batch).bins)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), batch.column(1), batch.column(2)], names=["kind", "p", "y", "w"])
+
+        found = self.rows.mapInArrow(run, "kind int, p double, y int, w long").groupBy("kind", "p").agg(F.sum(F.col("w") * F.col("y")).alias("right"), F.sum("w").alias("w"))
+        return (tuple(r) for r in found.orderBy("kind", F.desc("p")).toLocalIterator())
+
+
+def unpacked(batch: pa.RecordBatch | pa.Table) -> Rows:
+    """Rows from columns kind, y, w and x."""
+    kind, y, w = (np.array(batch.column(i).to_pylist(), dtype=np.int64) for i in range(3))
+    return Rows(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(len(y), -1), y, w, kind)
+
+
 class Boosted:
     """Gradient-boosted trees for two classes, logistic loss, binned splits."""
 
@@ -241,62 +352,73 @@ class Boosted:
         self.start = 0.0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-        binned = self._bin(x)
-        p = min(max(y.mean(), 0.01), 0.99)
+        w = np.full(len(y), UNIT)
+        self.edges = quantiles([(c, w) for c in x.T])
+        return self.boost(merged(self._bin(x), y, w))
+
+    def boost(self, rows: Rows | SpreadRows) -> Boosted:
+        """Grow the trees from the sums of binned rows."""
+        right, total = rows.weight()
+        p = min(max(right / max(total, 1.0), 0.01), 0.99)
         self.start = float(np.log(p / (1 - p)))
-        score = np.full(len(y), self.start)
         for _ in range(TREES):
-            prob = 1 / (1 + np.exp(-score))
-            tree: list[tuple] = []
-            self._grow(binned, y - prob, prob * (1 - prob), np.arange(len(y)), 0, tree)
-            self.trees.append(tree)
-            score += self._walk(tree, binned)
+            self.trees.append(self._grow(rows))
         return self
 
     def _bin(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)], axis=1)
-
-    def _grow(self, x, grad, hess, rows, depth, tree) -> int:
-        g, h = grad[rows].sum(), hess[rows].sum() + 1.0
-        best = (1e-6, None, None)
-        if depth < DEPTH and len(rows) >= 10:
-            for f in range(x.shape[1]):
-                size = len(self.edges[f]) + 1
-                gs = np.cumsum(np.bincount(x[rows, f], grad[rows], size))[:-1]
-                hs = np.cumsum(np.bincount(x[rows, f], hess[rows], size))[:-1] + 1.0
-                if len(gs):
-                    gain = gs**2 / hs + (g - gs) ** 2 / (h - hs + 2.0) - g**2 / h
-                    k = int(gain.argmax())
-                    if gain[k] > best[0]:
-                        best = (gain[k], f, k)
-        at = len(tree)
-        tree.append((None, None, RATE * g / h, None))
-        if best[1] is not None:
-            left = x[rows, best[1]] <= best[2]
-            if left.any() and not left.all():
-                a = self._grow(x, grad, hess, rows[left], depth + 1, tree)
-                b = self._grow(x, grad, hess, rows[~left], depth + 1, tree)
-                tree[at] = (best[1], best[2], a, b)
-        return at
-
-    def _walk(self, tree, x: np.ndarray) -> np.ndarray:
-        out = np.empty(len(x))
+        return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(self.edges, x.T)], axis=1).astype(np.uint8)
+
+    def _grow(self, rows: Rows | SpreadRows) -> list[tuple]:
+        """One tree, level by level: (feature, bin, left, right), or a value in the third place."""
+        tree: list[tuple] = [(None, None, 0.0, None)]
+        nodes = [0]
+        for depth in range(DEPTH):
+            if not nodes:
+                break
+            below = []
+            for at, found in zip(nodes, rows.sums(self, tree, nodes) / UNIT, strict=True):
+                g, h, weight = found[0].sum(axis=0) + (0.0, 1.0, 0.0)
+                if depth == 0:
+                    tree[at] = (None, None, RATE * g / h, None)
+                if weight < 10:
+                    continue
+                gs, hs = np.cumsum(found[:, :-1, 0], axis=1), np.cumsum(found[:, :-1, 1], axis=1) + 1.0
+                gain = gs**2 / hs + (g - gs) ** 2 / (h - hs + 2.0) - g**2 / h
+                n = np.cumsum(found[:, :-1, 2], axis=1)
+                gain[(n <= 0) | (n >= weight)] = 0.0
+                f, k = np.unravel_index(gain.argmax(), gain.shape)
+                if gain[f, k] <= 1e-6:
+                    continue
+                a, b = len(tree), len(tree) + 1
+                tree[at] = (int(f), int(k), a, b)
+                tree += [(None, None, float(RATE * gs[f, k] / hs[f, k]), None), (None, None, float(RATE * (g - gs[f, k]) / (h - hs[f, k] + 1.0)), None)]
+                below += [a, b]
+            nodes = below
+        return tree
+
+    def _reach(self, tree, x: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
+        out = np.empty(len(x), dtype=np.int64)
         stack = [(0, np.arange(len(x)))]
         while stack:
             at, rows = stack.pop()
             f, k, a, b = tree[at]
             if f is None:
-                out[rows] = a
+                out[rows] = at
             else:
                 left = x[rows, f] <= k
                 stack += [(a, rows[left]), (b, rows[~left])]
         return out
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
-        binned = self._bin(x)
+    def _walk(self, tree, x: np.ndarray) -> np.ndarray:
+        return np.array([0.0 if f is not None else a for f, _, a, _ in tree])[self._reach(tree, x)]
+
+    def likelihood(self, binned: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.start + sum(self._walk(t, binned) for t in self.trees))))
 
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        return self.likelihood(self._bin(x))
+
 
 def grouped(digits: str, sizes: Iterable[int], sep: str) -> str:
     """Digits in groups of these sizes, what is left being the last."""
@@ -459,28 +581,29 @@ def free(base: list[Span], found: Iterable[Span]) -> list[Span]:
     return [c for c in found if clear(c[0], c[2])]
 
 
+def surroundings(doc_id, text: str) -> Iterator[tuple[int, int, bool, str, str, str]]:
+    """(hash, kind, known, before, span, after) of every base span and of every other proposal of a text."""
+    base = base_spans(text)
+    for known, found in ((True, base), (False, free(base, candidates(text)))):
+        for a, kind, b in found:
+            before, span, after = text[max(0, a - AROUND) : a], text[a:b], text[b : b + AROUND]
+            yield xxhash.xxh64_intdigest(f"{doc_id}:{a}:{before}{span}{after}".encode(errors="replace"), kind) >> 1, kind, known, before, span, after
+
+
 def windows(docs: DataFrame, most: int = WINDOWS) -> list[tuple]:
-    """(kind, known, before, span, after): of each kind the base spans and the other proposals with the smallest hashes, from all documents."""
+    """(kind, known, before, span, after) of a few of each kind, those with the smallest hashes, to look at; fit() takes all."""
 
     def run(batches):
         held: dict[tuple[int, bool], list] = {(k, known): [] for k in range(4) for known in (True, False)}
         for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not text:
-                    continue
-                base = base_spans(text)
-                for known, found in ((True, base), (False, free(base, candidates(text)))):
-                    for a, kind, b in found:
-                        if b - a > 96:
-                            continue
-                        row = (kind, known, text[max(0, a - AROUND) : a], text[a:b], text[b : b + AROUND])
-                        # the smallest hashes: a heap of negated ones
-                        entry = (-(xxhash.xxh64_intdigest(f"{doc_id}:{a}:{row[3]}".encode(errors="replace"), kind) >> 1), row)
-                        heap = held[kind, known]
-                        if len(heap) < most:
-                            heapq.heappush(heap, entry)
-                        elif entry > heap[0]:
-                            heapq.heapreplace(heap, entry)
+                for h, *row in surroundings(doc_id, text or ""):
+                    # the smallest hashes: a heap of negated ones
+                    entry, heap = (-h, tuple(row)), held[row[0], row[1]]
+                    if len(heap) < most:
+                        heapq.heappush(heap, entry)
+                    elif entry > heap[0]:
+                        heapq.heapreplace(heap, entry)
         rows = [(-h, *row) for heap in held.values() for h, row in heap]
         types = [pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string()]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
@@ -494,30 +617,125 @@ def windows(docs: DataFrame, most: int = WINDOWS) -> list[tuple]:
     return out
 
 
-def learn(rows: list[tuple], precision: float = PRECISION) -> tuple[Boosted, list[float]]:
-    """Trees and for each kind the lowest threshold with the wanted precision on data in unseen writing."""
+def calibrated(scored: Iterable[tuple[int, float, int, int]], precision: float = PRECISION) -> list[float]:
+    """For each kind the lowest threshold with the wanted precision, from (kind, score, weight of label 1, weight) by kind and falling score."""
+    out = [2.0] * 4
+    for kind, rows in groupby(scored, key=itemgetter(0)):
+        right = total = 0
+        last = None  # a score that gives the precision, until the next lower one is known
+        for score, equal in groupby(rows, key=itemgetter(1)):
+            if last is not None:
+                # half-way to the next lower score, for what lies between is unknown
+                out[kind], last = (last + score) / 2, None
+            for _, _, r, n in equal:
+                right, total = right + r, total + n
+            if right >= precision * total:
+                last = score
+        if last is not None:
+            out[kind] = last
+    return [max(LEAST, t) for t in out]
+
+
+#: Where an example is from: twice its kind, one more if its span is known, or invented.
+INVENTED_SOURCE = 8
+EXAMPLE = "held boolean, source int, kind int, y int, first long, n long, x binary"
+
+
+def made(held: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Examples of invented data, to learn from or to calibrate with."""
     rng = np.random.default_rng(SEED)
-    held = rng.random(len(rows)) < HELD
-    known = [[r[:1] + r[2:] for r, h in zip(rows, held, strict=True) if r[1] and h == side] for side in (False, True)]
-    other = [[r[:1] + r[2:] for r, h in zip(rows, held, strict=True) if not r[1] and h == side] for side in (False, True)]
-    fill = [invented(rng, n) for n in INVENTED]
-    model = Boosted().fit(*examples([*known[0], *fill[0]], other[0]))
-    x, y = examples([*known[1], *fill[1]], other[1], UNSEEN, SEED + 1)
-    p = model.probability(x)
-    thresholds = []
-    for kind in range(4):
-        own = x[:, kind] == 1
-        order = np.argsort(-p[own], kind="stable")
-        score, right = p[own][order], y[own][order]
-        good = np.flatnonzero((np.cumsum(right) >= precision * np.arange(1, len(right) + 1)) & np.r_[score[1:] < score[:-1], True])
-        # half-way to the next lower score, for what lies between is unknown
-        thresholds.append(float(score[good[-1]] + (score[good[-1] + 1] if good[-1] + 1 < len(score) else score[good[-1]])) / 2 if len(good) else 2.0)
-    return model, [max(LEAST, t) for t in thresholds]
-
-
-def fit(docs: DataFrame) -> tuple[Boosted, list[float]]:
-    """Trees and thresholds from the surroundings of spans and proposals in all documents."""
-    return learn(windows(docs))
+    data = [invented(rng, n) for n in INVENTED][held]
+    return examples(data, [], UNSEEN if held else DISGUISES, SEED + held)
+
+
+def learn(rows: list[tuple], precision: float = PRECISION) -> tuple[Boosted, list[float]]:
+    """Trees and thresholds from invented data and these windows alone, each of the weight 1."""
+    side = np.random.default_rng(SEED).random(len(rows)) < HELD
+    parts = []
+    for held in (False, True):
+        known, other = ([r[:1] + r[2:] for r, h in zip(rows, side, strict=True) if bool(r[1]) == right and h == held] for right in (True, False))
+        parts.append([np.concatenate(z) for z in zip(made(held), examples(known, other, UNSEEN if held else DISGUISES, SEED + held), strict=True)])
+    (x, y), (xh, yh) = parts
+    model = Boosted().fit(x, y)
+    return model, calibrated(Rows(model._bin(xh), yh, np.full(len(yh), UNIT), xh[:, :4].argmax(axis=1)).scored(model), precision)
+
+
+def every_example(docs: DataFrame) -> DataFrame:
+    """All examples of all documents, equal ones of a task as one row; ``first`` counts surroundings, ``n`` examples."""
+
+    def run(batches):
+        held: dict[tuple, list[int]] = {}
+
+        def out():
+            columns = list(zip(*((*k[:4], *n, k[4]) for k, n in held.items()), strict=True)) if held else [[]] * 7
+            types = [pa.bool_(), *[pa.int32()] * 3, *[pa.int64()] * 2, pa.binary()]
+            batch = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in EXAMPLE.split(", ")])
+            held.clear()
+            return batch
+
+        for batch in slices(batches):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for h, kind, known, *window in surroundings(doc_id, text or ""):
+                    # the hash decides the side and the writing, wherever the row is
+                    side = (h & 0xFFFF) < HELD * 0x10000
+                    one = [(kind, *window)]
+                    x, y = examples(one if known else [], [] if known else one, UNSEEN if side else DISGUISES, h)
+                    for i, (row, label) in enumerate(zip(x, y, strict=True)):
+                        count = held.setdefault((side, 2 * kind + known, int(row[:4].argmax()), int(label), row.tobytes()), [0, 0])
+                        count[0] += i == 0
+                        count[1] += 1
+                    if len(held) >= HELD_ROWS:
+                        yield out()
+        yield out()
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, EXAMPLE)
+
+
+def fit(docs: DataFrame, driver_rows: int = DRIVER_ROWS) -> tuple[Boosted, list[float]]:
+    """Trees and thresholds from every base span and every other proposal of all documents, and invented data."""
+    corpus = materialise(every_example(docs), "examples")
+    weights = [UNIT] * (INVENTED_SOURCE + 1)
+    for r in corpus.groupBy("source").agg(F.sum("first").alias("n")).collect():
+        weights[r["source"]] = max(1, round(UNIT * min(1.0, WINDOWS / r["n"])))
+    invented_rows = [(held, INVENTED_SOURCE, int(row[:4].argmax()), int(label), 0, 1, row.tobytes()) for held in (False, True) for row, label in zip(*made(held), strict=True)]
+    weight = F.element_at(F.array(*map(F.lit, weights)).cast("array<bigint>"), F.col("source") + 1)
+    rows = corpus.unionByName(docs.sparkSession.createDataFrame(invented_rows, EXAMPLE)).withColumn("w", F.col("n") * weight).select("held", "kind", "y", "w", "x")
+
+    def values(batches):
+        for batch in batches:
+            x, w = matrix(batch.column(4)), np.array(batch.column(3).to_pylist(), dtype=float)
+            for f, column in enumerate(x.T):
+                found, at = np.unique(column, return_inverse=True)
+                sums = np.bincount(at, w).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([f] * len(found), pa.int32()), pa.array(found), pa.array(sums)], names=["f", "value", "w"])
+
+    model = Boosted()
+    # proposals are of bounded length, so a feature has a bounded number of values
+    found = rows.where(~F.col("held")).mapInArrow(values, "f int, value double, w long").groupBy("f", "value").agg(F.sum("w").alias("w")).toArrow()
+    feature, value, w = (found.column(i).to_numpy() for i in range(3))
+    model.edges = quantiles([(value[feature == f], w[feature == f]) for f in range(len(features("1", 0, 0, 1)))])
+
+    def binned(batches):
+        for batch in batches:
+            bins = model._bin(matrix(batch.column(4)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([b.tobytes() for b in bins], pa.binary())], names=batch.schema.names)
+
+    small = materialise(rows.mapInArrow(binned, rows.schema).groupBy("held", "kind", "y", "x").agg(F.sum("w").alias("w")).select("held", "kind", "y", "w", "x"), "binned")
+    discard(corpus)
+    sides = [small.where(F.col("held") == held).drop("held") for held in (False, True)]
+    if small.count() <= driver_rows:
+        parts = [unpacked(side.toArrow()) for side in sides]
+    else:
+        parts = [SpreadRows(side) for side in sides]
+    model.boost(parts[0])
+    thresholds = calibrated(parts[1].scored(model))
+    discard(small)
+    return model, thresholds
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """Features from rows of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist())).reshape(len(column), -1)
 
 
 def spans(text: str, base: list[Span], model: Boosted, thresholds: list[float]) -> list[Span]:

@@ -155,3 +155,73 @@ def test_redact():
 def test_empty_table(docs):
     none = docs.limit(0)
     assert pii.find(none, *pii.fit(none)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """More data of a kind than WINDOWS, one of them long."""
+    rows = [(i, f"please write to {'abcdefg'[i % 7] * (1 + i % 11)}{i}@mail{i % 13}.example.com {'today' * (i % 3)}{'' if i % 10 else ' or on 2024-03-15 1 200 300 at'}") for i in range(pii.WINDOWS + 200)]
+    rows += [(9001, "is " + "a" * 200 + "@b.example.com, call +1 (212) 555-0187 4111 9"), (9002, None), (9003, "")]
+    return spark.createDataFrame([*rows, rows[3]], "doc_id long, text string")
+
+
+def test_what_lies_beyond_the_smallest_hashes_counts(many):
+    few = pii.windows(many, pii.WINDOWS)
+    spans = {r[3] for r in few if r[:2] == (0, True)}
+    rows = many.collect()
+    part = [r for r in rows if r["doc_id"] >= 9000 or r["doc_id"] % 10 == 0 or any(r["text"][a:b] in spans for a, _, b in pii.base_spans(r["text"]))]
+    part = many.sparkSession.createDataFrame(part, many.schema)
+    assert pii.windows(part, pii.WINDOWS) == few and part.count() < len(rows) - 100
+    assert pii.fit(many)[0].trees != pii.fit(part)[0].trees
+
+
+def test_every_span_and_proposal_is_learned_from_or_calibrates(many):
+    want, sides = {}, {False: [], True: []}
+    for r in many.collect():
+        base = pii.base_spans(r["text"] or "")
+        others = pii.free(base, pii.candidates(r["text"] or ""))
+        for known, found in ((True, base), (False, others)):
+            for _, kind, _ in found:
+                want[2 * kind + known] = want.get(2 * kind + known, 0) + 1
+        for h, kind, known, *window in pii.surroundings(r["doc_id"], r["text"] or ""):
+            side = (h & 0xFFFF) < pii.HELD * 0x10000
+            one = [(kind, *window)]
+            x, y = pii.examples(one if known else [], [] if known else one, pii.UNSEEN if side else pii.DISGUISES, h)
+            sides[side] += [(2 * kind + known, a, b) for a, b in zip(x, y, strict=True)]
+    got = {r["source"]: r["n"] for r in pii.every_example(many).groupBy("source").sum("first").withColumnRenamed("sum(first)", "n").collect()}
+    assert got == want and want[1] > pii.WINDOWS and sum(want.values()) == sum(1 for r in many.collect() for _ in pii.surroundings(r["doc_id"], r["text"] or ""))
+
+    # the same from rows one by one, in this process
+    def plain_rows(held):
+        x, y = pii.made(held)
+        rows = [(pii.UNIT, a, b) for a, b in zip(x, y, strict=True)] + [(round(pii.UNIT * min(1.0, pii.WINDOWS / want[s])), a, b) for s, a, b in sides[held]]
+        w, x, y = zip(*rows, strict=True)
+        return np.array(x), np.array(y), np.array(w)
+
+    x, y, w = plain_rows(False)
+    model = pii.Boosted()
+    model.edges = pii.quantiles([(c, w) for c in x.T])
+    model.boost(pii.merged(model._bin(x), y, w))
+    x, y, w = plain_rows(True)
+    thresholds = pii.calibrated(pii.Rows(model._bin(x), y, w, x[:, :4].argmax(axis=1)).scored(model))
+    found, others = pii.fit(many)
+    assert [e.tolist() for e in found.edges] == [e.tolist() for e in model.edges]
+    assert found.trees == model.trees and others == thresholds
+
+
+def test_executors_sum_as_the_driver_does(many, monkeypatch):
+    monkeypatch.setattr(pii, "TREES", 3)
+    a, b = pii.fit(many.repartition(5)), pii.fit(many.coalesce(1), driver_rows=0)
+    assert a[0].trees == b[0].trees and a[0].start == b[0].start and a[1] == b[1]
+
+
+def test_without_documents_only_invented_data_count(docs):
+    model, thresholds = pii.fit(docs.limit(0))
+    other, same = pii.learn([])
+    assert model.trees == other.trees and thresholds == same
+
+
+def test_calibration_takes_equal_scores_together():
+    # kind, score, weight of label 1, weight
+    rows = [(0, 0.9, 10, 10), (0, 0.8, 9, 10), (0, 0.7, 9, 9), (0, 0.6, 0, 30), (2, 0.9, 0, 5), (3, 0.8, 1, 2), (3, 0.8, 40, 40)]
+    assert pii.calibrated(rows) == pytest.approx([0.65, 2.0, 2.0, 0.8])
