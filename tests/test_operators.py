@@ -175,6 +175,33 @@ def test_similar_pairs_match_all_pairs(spark, threshold):
     assert sorted((r["left_id"], r["right_id"]) for r in got.collect()) == sorted(want) and want
 
 
+def test_similar_pairs_keep_texts_apart_that_share_words(spark):
+    left = [(1, "a b c"), (2, "c b a a"), (3, ""), (4, None), (5, "a b c")]
+    right = [(1, "a b c"), (6, "A  b\nc"), (7, "x"), (8, "")]
+    got = audit.similar_pairs(spark.createDataFrame(left, "id int, text string"), spark.createDataFrame(right, "id int, text string"), 1.0)
+    assert sorted((r[0], r[1]) for r in got.collect()) == [(1, 6), (2, 1), (2, 6), (5, 1), (5, 6)]
+
+
+def test_similar_pairs_deal_texts_out_once(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"a b c d {i // 2}") for i in range(40)], "id int, text string")
+    pairs = audit.similar_pairs(rows.where("id % 2 = 0"), rows.where("id % 2 = 1"))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # all words of a set are never dealt out word by word, and pairs that meet aren't laid out with the words of both
+    assert "collect_list" not in plan and plan.count("Generate explode(split") == 0
+
+
+def test_audit_counts_rows_of_equal_texts_without_laying_them_out(spark):
+    rows = [(f"{s}{i:04}", "a b c d e", s) for s in ("train", "dev") for i in range(1500)] + [("train0000", "a b c d e f", "test"), (None, "a b c d e", "test"), (None, "z", "train")]
+    table = spark.createDataFrame(rows, "trajectory_id string, situation string, split string").withColumn("raw", F.lit("{}"))
+    out = {r["pair"]: r for r in audit.audit_splits(table).collect()}
+    assert {k: r["similar_pairs"] for k, r in out.items()} == {"train/dev": 1500 * 1500, "train/test": 1499 + 1500, "dev/test": 2 * 1500}
+    assert [tuple(x) for x in out["train/dev"]["examples"]] == [("train0000", f"dev{i:04}") for i in range(3)]
+    assert [tuple(x) for x in out["train/test"]["examples"]] == [("train0000", None), ("train0001", None), ("train0001", "train0000")]
+    plan = audit.audit_splits(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_set") == 6  # of one search; it was made for each two splits
+
+
 def test_overlap_report(spark):
     def row(i, situation, extra=None, seed=None):
         return (json.dumps({"trajectory_id": i, "x": 1, "steps": [], **(extra or {})}), i, situation, (seed,))
