@@ -49,3 +49,8 @@ def test_all_kinds_of_damage_occur(spark):
     assert damage == {"no_think", "bad_json", "missing_keys", "bad_version", "unknown_method", "fine"}
     modes = {r["subscore"] for r in registry.QUERIES["failure_modes"](spark, FOLDER).collect()}
     assert {"parse", "schema", "precondition_met", "transition_valid"} <= modes
+
+
+def test_existing_by_seed_grades_once(spark):
+    plan = registry.QUERIES["existing_by_seed"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 1 and "Join" not in plan
